@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NULL_D = F.lit(None).cast("double")
 
 # Means are summed as DECIMAL(18, scale) so that the result does not depend
 # on partitioning or row order (a double sum does). Measures here carry at
@@ -15,7 +14,7 @@ MEAN_SCALE = 4
 
 def unify_null(c: Column) -> Column:
     """NaN becomes NULL, so averages, maxima and comparisons skip it."""
-    return F.nanvl(c, _NULL_D)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def to_double(c: Column | str) -> Column:

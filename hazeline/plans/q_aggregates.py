@@ -1 +1,189 @@
-"""Registered queries."""
+"""Aggregate queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hazeline.operators import aggregates as agg
+from hazeline.plans.catalog import register
+from hazeline.plans.common import STATION_KEYS, cleaned, raw, readings
+from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, mean, means, with_
+from hazeline.schemas import MEASURES, RAW_READING_COLUMNS
+from hazeline.sources.adapter import bike_days
+
+Z = "CAST(0.0 AS DOUBLE)"
+
+
+def _profile_sql(stats, src="silver"):
+    one = {
+        "count": lambda m: f'CAST(count("{m}") AS DOUBLE)',
+        "mean": lambda m: mean(m),
+        "stddev": lambda m: f'round(stddev_samp("{m}"), 6)',
+        "min": lambda m: f'min("{m}") + {Z}',
+        "max": lambda m: f'max("{m}") + {Z}',
+        "25%": lambda m: f'quantile_disc("{m}", 0.25)',
+        "50%": lambda m: f'quantile_disc("{m}", 0.5)',
+        "75%": lambda m: f'quantile_disc("{m}", 0.75)',
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{s}' AS summary, {i} AS stat_order, "
+        + ", ".join(f'{one[s](m)} AS "{m}"' for m in MEASURES) + f" FROM {src}"
+        for i, s in enumerate(stats))
+
+
+@register("profile_summary", with_(BASE, _profile_sql(agg.PROFILE_STATS)))
+def profile_summary(spark, sf_dir):
+    """count, mean, stddev, min, quartiles, max of each measure: one pass."""
+    return agg.profile(readings(spark, sf_dir), MEASURES, agg.PROFILE_STATS)
+
+
+@register("profile_describe", with_(BASE, _profile_sql(agg.DESCRIBE_STATS)))
+def profile_describe(spark, sf_dir):
+    return agg.profile(readings(spark, sf_dir), MEASURES, agg.DESCRIBE_STATS)
+
+
+@register("global_max", with_(BASE, 'SELECT max("PM25") AS "max(PM25)" FROM silver'))
+def global_max(spark, sf_dir):
+    return readings(spark, sf_dir).agg({"PM25": "max"})
+
+
+_F4_NUM = ["reading_id", "station", "latitude", "longitude", *MEASURES, "month", "year"]
+
+
+@register("group_max_all", with_(BASE, "SELECT district, " + ", ".join(
+    f'max("{c}") AS "max({c})"' for c in _F4_NUM) + " FROM silver GROUP BY district"))
+def group_max_all(spark, sf_dir):
+    """Max of every numeric column per district; text columns are left out.
+    Spark keeps the NULL district as its own group."""
+    df = readings(spark, sf_dir).drop("measured_at", "day")
+    return agg.max_all_numeric(df, ["district"])
+
+
+_F5 = ["station", "latitude", "longitude", *MEASURES]
+
+
+def _district_mean(spark, sf_dir):
+    df = readings(spark, sf_dir).select("district", *_F5)
+    return agg.mean_all_numeric(df, ["district"])
+
+
+_F5_SQL = f"SELECT district, {means(_F5)} FROM silver WHERE district IS NOT NULL GROUP BY district"
+
+
+@register("district_mean", with_(BASE, _F5_SQL))
+def district_mean(spark, sf_dir):
+    """District mean over all years of every numeric column (station code,
+    latitude and longitude are averaged too, as in the reference)."""
+    return _district_mean(spark, sf_dir)
+
+
+@register("district_avg_named", with_(BASE, f"""
+SELECT district, {means(MEASURES, "avg_")} FROM silver GROUP BY district"""))
+def district_avg_named(spark, sf_dir):
+    return agg.mean_by(readings(spark, sf_dir), ["district"], MEASURES, prefix="avg_",
+                       drop_null_keys=False)
+
+
+@register("mean_all_but_keys", with_(CLEAN, f"""
+SELECT district, month, {means([*MEASURES, "year"])} FROM clean GROUP BY district, month"""))
+def mean_all_but_keys(spark, sf_dir):
+    """Mean of every numeric column except the keys, names kept."""
+    df = cleaned(spark, sf_dir).select("district", "month", "year", *MEASURES)
+    keys = ["district", "month"]
+    rest = [c for c in agg.numeric_columns(df) if c not in keys]
+    return agg.mean_by(df, keys, rest, drop_null_keys=False)
+
+
+_F9_REST = [m for m in MEASURES if m != "PM25"]
+
+
+@register("mean_measure_key", with_(CLEAN, f"""
+SELECT district, month, "PM25", {means(_F9_REST)} FROM clean GROUP BY district, month, "PM25" """))
+def mean_measure_key(spark, sf_dir):
+    """A measure among the group keys: mean of the other measures per
+    (district, month, PM25) on typed columns."""
+    df = cleaned(spark, sf_dir).select("district", "month", *MEASURES)
+    return agg.mean_by(df, ["district", "month", "PM25"], _F9_REST, drop_null_keys=False)
+
+
+def month_table(spark, sf_dir):
+    """Month climatology: mean per (district, month of year) over all years."""
+    return agg.mean_by(cleaned(spark, sf_dir), ["district", "month"], MEASURES)
+
+
+MONTH_SQL = f"""SELECT district, month, {means()} FROM clean
+WHERE district IS NOT NULL AND month IS NOT NULL GROUP BY district, month"""
+
+
+@register("month_climatology", with_(CLEAN, MONTH_SQL))
+def month_climatology(spark, sf_dir):
+    return month_table(spark, sf_dir)
+
+
+@register("daily_mean", with_(BASE, f"""
+SELECT day, {means()} FROM silver WHERE day IS NOT NULL GROUP BY day"""))
+def daily_mean(spark, sf_dir):
+    """Daily mean over all stations."""
+    return agg.mean_by(readings(spark, sf_dir), ["day"], MEASURES)
+
+
+_RAW_ALL = ["reading_id", *RAW_READING_COLUMNS]
+
+
+@register("group_nonnull_count", with_([STATIONS, RAW], """
+SELECT substr("Measurement date", 4, 1) AS key, """ + ", ".join(
+    f'CAST(count("{c}") AS BIGINT) AS "{c}"' for c in _RAW_ALL) + " FROM raw GROUP BY 1"))
+def group_nonnull_count(spark, sf_dir):
+    """Non-NULL count of every column per one-character key."""
+    df = raw(spark, sf_dir)
+    keyed = df.select(F.substring(F.col("`Measurement date`"), 4, 1).alias("key"),
+                      *[F.col(f"`{c}`") for c in _RAW_ALL])
+    return agg.nonnull_count_by(keyed, ["key"])
+
+
+_RANGE = ", ".join(f'min("{m}") + {Z} AS "min_{m}", max("{m}") + {Z} AS "max_{m}"' for m in MEASURES)
+
+
+@register("measure_range", with_(BASE, f"SELECT {_RANGE} FROM ({_F5_SQL}) d"))
+def measure_range(spark, sf_dir):
+    """Min and max of each measure over the district mean table (a shared
+    colour scale for the maps)."""
+    return agg.measure_range(_district_mean(spark, sf_dir), MEASURES)
+
+
+_NN = " AND ".join(f"{k} IS NOT NULL" for k in STATION_KEYS + ["year"])
+
+
+@register("measure_range_by_year", with_(CLEAN, f"""
+SELECT year, {_RANGE} FROM (
+  SELECT station, district, latitude, longitude, year, {means()} FROM clean WHERE {_NN}
+  GROUP BY station, district, latitude, longitude, year) s GROUP BY year"""))
+def measure_range_by_year(spark, sf_dir):
+    """Min and max of each measure of every year's station map."""
+    from hazeline.plans.q_clean import station_year_mean
+    return agg.measure_range(station_year_mean(spark, sf_dir), MEASURES, ["year"])
+
+
+HIST_BINS = 10
+
+
+_HIST_CTES = [
+    'r AS (SELECT min("SO2") AS lo, max("SO2") AS hi FROM silver)',
+    f"""b AS (SELECT CAST(least(coalesce(floor(("SO2" - lo) / ((hi - lo) / {float(HIST_BINS)})), 0),
+        {HIST_BINS - 1}) AS INTEGER) AS bin, lo, (hi - lo) / {float(HIST_BINS)} AS width
+      FROM silver, r WHERE "SO2" IS NOT NULL)"""]
+
+
+@register("histogram_bins", with_(BASE + _HIST_CTES, """
+SELECT bin, lo + bin * width AS bin_lo, lo + (bin + 1) * width AS bin_hi, count(*) AS n
+FROM b GROUP BY bin, lo, width"""))
+def histogram_bins(spark, sf_dir):
+    return agg.histogram(readings(spark, sf_dir), "SO2", HIST_BINS)
+
+
+def bike_daily(spark, sf_dir):
+    """Daily mean of the second series; text columns dropped first."""
+    from hazeline.functions import dmy_to_date
+    b = bike_days(spark, sf_dir).drop("Seasons", "Holiday", "Functioning Day")
+    b = b.select(dmy_to_date("Date").alias("Date"), *[c for c in b.columns if c != "Date"])
+    return agg.mean_all_numeric(b, ["Date"])
