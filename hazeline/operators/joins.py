@@ -52,28 +52,33 @@ def series_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     return left.join(right, left[left_key] == right[right_key], "inner")
 
 
-def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
-                 partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order, computed without
-    a global single-partition window: range-partition on the order, number
-    rows inside each partition, and add the count of all rows in earlier
-    partitions (one small aggregate of one row per partition)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = (df.repartitionByRange(n, *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
-    local = parted.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", (F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    # offsets has one row per partition: a proven bound, so it is broadcast.
-    return (local.join(F.broadcast(offsets), "_pid")
+def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal",
+                 buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+    """0-based position of each row in ``order_col`` order, without a global
+    single-partition window. Rows go to range buckets whose bounds are
+    approximate quantiles of the order column (one scalar subquery); the
+    bucket is a function of the value, so every recomputation agrees. Rows
+    are numbered inside each bucket and shifted by the row count of all
+    earlier buckets (a table of one row per bucket)."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probs = [i / n for i in range(1, n)]
+    bounds = df.agg(F.percentile_approx(order_col, probs, accuracy).alias("b")).scalar()
+    b = (df.withColumn("_bounds", bounds)
+           .withColumn("_b", F.size(F.filter("_bounds", lambda v: v < F.col(order_col))))
+           .drop("_bounds"))
+    local = b.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_b").orderBy(order_col)) - 1)
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_b", (F.sum("_n").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    # offsets holds one row per bucket: a proven bound, so it is broadcast.
+    return (local.join(F.broadcast(offsets), "_b")
                  .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
-                 .drop("_pid", "_local", "_off"))
+                 .drop("_b", "_local", "_off"))
 
 
-def row_aligned_join(left: DataFrame, left_order: list[str], right: DataFrame,
-                     right_order: list[str]) -> DataFrame:
+def row_aligned_join(left: DataFrame, left_order: str, right: DataFrame,
+                     right_order: str) -> DataFrame:
     """Horizontal concatenation of two frames, inner on row position."""
     lo = with_ordinal(left, left_order)
     ro = with_ordinal(right, right_order)
