@@ -108,3 +108,76 @@ def bike_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("Holiday"),
         F.lit("Yes").alias("Functioning Day"),
     )
+
+
+# Fixed values of the real-time snapshot documents: reported offset of the
+# local clock, and the day offsets each forecast array spans (they differ
+# per pollutant, and start before the poll date, as the service sends them).
+SNAPSHOT_TZ = "+09:00"
+FORECAST_SPANS = {"o3": (-2, 5), "pm10": (-1, 6), "pm25": (-1, 6), "uvi": (-1, 4)}
+
+
+def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One real-time snapshot document per event, in the nested shape of the
+    service: station ``idx`` <- user_id, revision time ``debug.sync`` <- ts,
+    hour of the observation <- ts truncated to the hour (local clock), AQI
+    <- floor(value), dominant pollutant <- event_type, ``iaqi`` values from
+    value and props.k (integers for some keys, decimals for others), and
+    four forecast arrays. ``time.v`` repeats the reference's trap: the local
+    clock read as if it were UTC. Also returns ``date`` (local poll date)."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    hour = F.date_trunc("hour", F.col("ts"))
+    iaqi = {
+        "co": F.round(F.col("value") / 100.0, 1), "h": None, "no2": k.cast("double"),
+        "o3": None, "p": None, "pm10": k.cast("double"), "pm25": F.col("value"),
+        "r": None, "so2": None, "t": F.hour("ts").cast("double"), "w": None}
+    day0 = F.to_date("ts")
+
+    def forecast(name):
+        lo, hi = FORECAST_SPANS[name]
+        return F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda i: F.struct(
+            (k + i).alias("avg"), F.date_format(F.date_add(day0, i), "yyyy-MM-dd").alias("day"),
+            (k + i + 2).alias("max"), (k + i - 2).alias("min")))
+
+    epoch_as_utc = (F.unix_date(day0).cast("bigint") * 86400 + F.hour("ts").cast("bigint") * 3600)
+    data = F.struct(
+        F.floor("value").cast("int").alias("aqi"),
+        F.col("user_id").cast("int").alias("idx"),
+        F.col("event_type").alias("dominentpol"),
+        F.array(F.struct(F.format_string("station/%d", "user_id").alias("url"),
+                         F.format_string("Station %d", "user_id").alias("name"),
+                         F.lit(None).cast("string").alias("logo"))).alias("attributions"),
+        F.struct(F.array(F.lit(37.5), F.lit(127.0)).alias("geo"),
+                 F.format_string("Station %d", "user_id").alias("name"),
+                 F.format_string("station/%d", "user_id").alias("url"),
+                 F.lit("").alias("location")).alias("city"),
+        F.struct(*[F.struct((v if v is not None else F.lit(None).cast("double")).alias("v")).alias(n)
+                   for n, v in iaqi.items()]).alias("iaqi"),
+        F.struct(F.date_format(hour, "yyyy-MM-dd HH:mm:ss").alias("s"),
+                 F.lit(SNAPSHOT_TZ).alias("tz"), epoch_as_utc.alias("v"),
+                 F.concat(F.date_format(hour, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(SNAPSHOT_TZ)).alias("iso")
+                 ).alias("time"),
+        F.struct(F.struct(*[forecast(n).alias(n) for n in FORECAST_SPANS]).alias("daily")).alias("forecast"),
+        F.struct(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                          F.lit(SNAPSHOT_TZ)).alias("sync")).alias("debug"),
+    )
+    return e.select(F.lit("ok").alias("status"), data.alias("data"),
+                    F.date_format("ts", "yyyy-MM-dd").alias("date"))
+
+
+def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice lines (the reference's Latin-1 ``data.csv``) from lineitem and
+    part: the description carries accented letters by a fixed mapping."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                 "l_quantity", "l_extendedprice", "l_shipdate")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    return j.select(
+        F.col("l_orderkey").alias("InvoiceNo"),
+        F.col("l_linenumber").alias("LineNo"),
+        F.translate("p_name", "aeiou", "áéíóú").alias("Description"),
+        F.col("l_quantity").cast("int").alias("Quantity"),
+        F.date_format("l_shipdate", "MM/dd/yyyy HH:mm").alias("InvoiceDate"),
+        F.col("l_extendedprice").alias("Amount"),
+    )

@@ -10,6 +10,7 @@ not a recomputation of the joins. A landing is keyed by the input files
 from __future__ import annotations
 
 import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,12 +20,29 @@ from hazeline.sources import adapter, fs
 from hazeline.sources.tables import table_path
 
 LANDING_VERSION = "r1"
-_INPUTS = ["lineitem", "orders", "part", "supplier", "nation", "region"]
+_INPUTS = ["lineitem", "orders", "part", "supplier", "nation", "region", "events"]
+
+
+def _code_version() -> str:
+    """Hash of the modules that shape landed and derived data, so a code
+    change never reuses files written by older code."""
+    import hazeline
+    root = os.path.dirname(hazeline.__file__)
+    h = hashlib.sha1(LANDING_VERSION.encode())
+    for rel in _SHAPING_MODULES:
+        with open(os.path.join(root, rel), "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:12]
+
+
+_SHAPING_MODULES = ["sources/adapter.py", "sources/files.py", "plans/readings.py",
+                    "functions/safe.py", "functions/dates.py", "functions/address.py",
+                    "schemas.py"]
 
 
 def _key(spark: SparkSession, sf_dir: str) -> str:
     fp = fs.fingerprint(spark, [table_path(sf_dir, t) for t in _INPUTS])
-    return hashlib.sha1(f"{LANDING_VERSION}|{sf_dir}|{fp}".encode()).hexdigest()[:16]
+    return hashlib.sha1(f"{_code_version()}|{sf_dir}|{fp}".encode()).hexdigest()[:16]
 
 
 def landing_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -48,3 +66,18 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(land(spark, sf_dir)[1])
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a table or file set derived from the inputs, written once by
+    ``build(path)`` and reused while the inputs are unchanged."""
+    path = scratch_path(spark, "landing", _key(spark, sf_dir), name)
+    if not fs.exists(spark, f"{path}/_SUCCESS"):
+        build(path)
+    return path
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new, unused folder for one run of a sink (never cleared, never reused)."""
+    import uuid
+    return scratch_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
