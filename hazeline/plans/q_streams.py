@@ -1 +1,87 @@
-"""Registered queries."""
+"""Snapshot queries: documents derived from events
+are written as JSON files (one folder per local date), then scanned,
+flattened, reduced to the latest revision in batch and as a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hazeline.plans.catalog import register
+from hazeline.schemas import IAQI_KEYS
+from hazeline.sources import adapter, files, landing
+from hazeline.streaming import snapshots as snap
+
+
+def snapshot_dir(spark, sf_dir) -> str:
+    def build(p):
+        (adapter.snapshot_documents(spark, sf_dir).write.mode("overwrite")
+                .partitionBy("date").json(p))
+    return landing.derived(spark, sf_dir, "snapshots_json", build)
+
+
+_K = "CAST(json_extract(props, '$.k') AS INTEGER)"
+_EV = f"ev AS (SELECT *, {_K} AS k, date_trunc('hour', ts) AS hr FROM events)"
+_IAQI = {"co": "value / 100.0", "no2": "CAST(k AS DOUBLE)", "pm10": "CAST(k AS DOUBLE)",
+         "pm25": "value", "t": "CAST(hour(ts) AS DOUBLE)"}
+_SYNC = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+09:00'"
+_FLAT = ("CAST(user_id AS INTEGER) AS idx, strftime(hr, '%Y-%m-%d %H:%M:%S') AS obs_local, "
+         "CAST(floor(value) AS INTEGER) AS aqi, event_type AS dominentpol, "
+         f"{_SYNC} AS sync, "
+         + ", ".join(f'{_IAQI.get(k, "CAST(NULL AS DOUBLE)")} AS "{k}"' for k in IAQI_KEYS))
+
+
+@register("snapshot_flatten", f"""WITH {_EV}
+SELECT {_FLAT}, CAST(epoch(hr) AS BIGINT) - 32400 AS obs_epoch,
+  CAST(epoch(hr) AS BIGINT) AS time_v FROM ev""")
+def snapshot_flatten(spark, sf_dir):
+    """Nested documents to one flat row per poll."""
+    return snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir))).drop("obs_ts")
+
+
+@register("forecast_unnest", f"""WITH {_EV},
+spans(pollutant, lo, hi) AS (VALUES ('o3', -2, 5), ('pm10', -1, 6), ('pm25', -1, 6), ('uvi', -1, 4)),
+d AS (SELECT user_id, ts, k, pollutant, unnest(range(lo, hi)) AS i FROM ev, spans)
+SELECT CAST(user_id AS INTEGER) AS idx, {_SYNC} AS sync, pollutant,
+  strftime(CAST(ts AS DATE) + CAST(i AS INTEGER), '%Y-%m-%d') AS day, CAST(k + i AS INTEGER) AS avg,
+  CAST(k + i - 2 AS INTEGER) AS min, CAST(k + i + 2 AS INTEGER) AS max FROM d""")
+def forecast_unnest(spark, sf_dir):
+    """One row per (poll, pollutant, forecast day)."""
+    return snap.forecast_unnest(files.snapshots(spark, snapshot_dir(spark, sf_dir)))
+
+
+_LATEST_COLS = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
+
+
+def _argmax(cols_sql: dict) -> str:
+    return ", ".join(f'arg_max({v}, ts) AS "{k}"' for k, v in cols_sql.items())
+
+
+_ARG = {"aqi": "CAST(floor(value) AS INTEGER)", "dominentpol": "event_type",
+        "obs_local": "strftime(hr, '%Y-%m-%d %H:%M:%S')", "sync": _SYNC,
+        **{k: _IAQI.get(k, "CAST(NULL AS DOUBLE)") for k in IAQI_KEYS}}
+
+
+@register("snapshot_daily_latest", f"""WITH {_EV}
+SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(user_id AS INTEGER) AS idx, {_argmax(_ARG)}
+FROM ev GROUP BY 1, 2""")
+def snapshot_daily_latest(spark, sf_dir):
+    """Last poll per (station, local date) wins, written one folder per date
+    with dynamic partition overwrite, and read back."""
+    path = landing.fresh(spark, "daily_latest")
+    flat = snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir)))
+    snap.write_daily_latest(flat, path)
+    back = spark.read.parquet(path)
+    return back.select(F.col("date").cast("string").alias("date"), "idx", *_LATEST_COLS)
+
+
+@register("stream_snapshot_latest", f"""WITH {_EV}
+SELECT CAST(user_id AS INTEGER) AS idx, CAST(epoch(hr) AS BIGINT) - 32400 AS window_epoch,
+  {_argmax(_ARG)} FROM ev GROUP BY 1, 2""")
+def stream_snapshot_latest(spark, sf_dir):
+    """The snapshot folder as a file stream: latest revision per (station,
+    hour) by sync time, kept in state under a watermark, update mode into a
+    per-batch parquet sink; the result is the final state of every key."""
+    run = landing.fresh(spark, "stream_latest")
+    snap.stream_latest(spark, snapshot_dir(spark, sf_dir), f"{run}/out", f"{run}/checkpoint")
+    return snap.read_stream_result(spark, f"{run}/out")
+

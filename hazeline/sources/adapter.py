@@ -129,7 +129,7 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("int")
     hour = F.date_trunc("hour", F.col("ts"))
     iaqi = {
-        "co": F.round(F.col("value") / 100.0, 1), "h": None, "no2": k.cast("double"),
+        "co": F.col("value") / 100.0, "h": None, "no2": k.cast("double"),
         "o3": None, "p": None, "pm10": k.cast("double"), "pm25": F.col("value"),
         "r": None, "so2": None, "t": F.hour("ts").cast("double"), "w": None}
     day0 = F.to_date("ts")
