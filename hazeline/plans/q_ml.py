@@ -1 +1,72 @@
-"""Registered queries."""
+"""MLlib queries: PM2.5 regressed on the other measures."""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from hazeline.operators import ml
+from hazeline.plans.catalog import register
+from hazeline.plans.common import readings
+from hazeline.plans.oracle import BASE, with_
+
+# The reference's feature list and label.
+FEATURES = ["SO2", "CO", "PM10", "NO2"]
+LABEL = "PM25"
+_SPLIT_SQL = (f"CASE WHEN ((reading_id % {ml.SPLIT_P}) * {ml.SPLIT_A} + {ml.SPLIT_B}) % 100 "
+              f"< {ml.TRAIN_PERCENT} THEN 'train' ELSE 'test' END")
+
+
+@register("assemble_features", with_(BASE, "SELECT reading_id, \"PM25\", " + ", ".join(
+    f'coalesce("{c}", CAST(\'NaN\' AS DOUBLE)) AS "f_{c}"' for c in FEATURES) + " FROM silver"))
+def assemble_features(spark, sf_dir):
+    """Feature vectors with ``keep``: a NULL measure becomes NaN, the row
+    stays. Returned as one column per vector slot."""
+    df = readings(spark, sf_dir).select("reading_id", LABEL, *FEATURES)
+    v = ml.assemble(df, FEATURES, handle_invalid="keep").select("reading_id", LABEL, "features")
+    return ml.features_as_columns(v, FEATURES)
+
+
+@register("hash_split", with_(BASE, f"SELECT reading_id, {_SPLIT_SQL} AS part FROM silver"))
+def hash_split(spark, sf_dir):
+    """Reproducible 75/25 split on the reading key."""
+    return ml.hash_split(readings(spark, sf_dir).select("reading_id"), "reading_id")
+
+
+def _parts(spark, sf_dir):
+    df = ml.hash_split(readings(spark, sf_dir).select("reading_id", LABEL, *FEATURES), "reading_id")
+    return df.filter(F.col("part") == "train"), df.filter(F.col("part") == "test")
+
+
+def _fit(spark, sf_dir):
+    train, test = _parts(spark, sf_dir)
+    return ml.fit_linear(train, FEATURES, LABEL), test
+
+
+@register("linear_fit")
+def linear_fit(spark, sf_dir):
+    """Coefficients and intercept of PM25 ~ SO2 + CO + PM10 + NO2 fitted on
+    the training part."""
+    model, _ = _fit(spark, sf_dir)
+    return ml.coefficients(model, FEATURES, spark)
+
+
+@register("linear_r2")
+def linear_r2(spark, sf_dir):
+    """Training R2, RMSE and row count of the fit."""
+    model, _ = _fit(spark, sf_dir)
+    s = model.summary
+    return spark.createDataFrame([(float(s.r2), float(s.rootMeanSquaredError), int(s.numInstances))],
+                                 "r2 double, rmse double, n long")
+
+
+@register("linear_predict")
+def linear_predict(spark, sf_dir):
+    """Predictions on the held-out part (the reference scored rows it had
+    fitted on; here the test part is never seen by the fit), with the
+    hold-out RMSE and R2 attached as columns."""
+    model, test = _fit(spark, sf_dir)
+    pred = ml.predict(model, test, FEATURES, LABEL, ["reading_id"])
+    rmse = RegressionEvaluator(labelCol=LABEL, metricName="rmse").evaluate(pred)
+    r2 = RegressionEvaluator(labelCol=LABEL, metricName="r2").evaluate(pred)
+    return pred.withColumn("test_rmse", F.lit(rmse)).withColumn("test_r2", F.lit(r2))
