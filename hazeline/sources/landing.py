@@ -55,8 +55,11 @@ def land(spark: SparkSession, sf_dir: str, force: bool = False) -> tuple[str, st
     if force or not fs.exists(spark, f"{bronze}/_SUCCESS"):
         adapter.raw_readings(spark, sf_dir).write.mode("overwrite").parquet(bronze)
     if force or not fs.exists(spark, f"{silver}/_SUCCESS"):
+        # A whole-table write: static overwrite, which also leaves _SUCCESS
+        # at the root (dynamic mode, if the session sets it, does not).
         (ingest(spark.read.parquet(bronze))
-         .write.mode("overwrite").partitionBy("year").parquet(silver))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("year").parquet(silver))
     return bronze, silver
 
 
