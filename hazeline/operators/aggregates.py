@@ -79,20 +79,25 @@ def profile(df: DataFrame, measures: list[str], stats: list[str] | None = None,
     per measure. One aggregate pass (percentiles by a mergeable sketch), then
     an unpivot of the single result row by ``stack``."""
     stats = stats or PROFILE_STATS
+    qs = [s for s in stats if s.endswith("%")]
     exprs = {
         "count": lambda m: F.count(m).cast("double"),
         "mean": lambda m: exact_mean(m),
         "stddev": lambda m: F.round(F.stddev_samp(m), digits),
         "min": lambda m: F.min(m) + F.lit(0.0),
         "max": lambda m: F.max(m) + F.lit(0.0),
-        "25%": lambda m: F.percentile_approx(m, 0.25, accuracy),
-        "50%": lambda m: F.percentile_approx(m, 0.5, accuracy),
-        "75%": lambda m: F.percentile_approx(m, 0.75, accuracy),
     }
-    wide = df.agg(*[exprs[s](m).alias(f"{i}_{j}") for i, s in enumerate(stats)
-                    for j, m in enumerate(measures)])
+    aggs = [exprs[s](m).alias(f"{i}_{j}") for i, s in enumerate(stats) if s in exprs
+            for j, m in enumerate(measures)]
+    # All quantiles of a column from one sketch.
+    aggs += [F.percentile_approx(m, [float(q[:-1]) / 100 for q in qs], accuracy).alias(f"q_{j}")
+             for j, m in enumerate(measures)] if qs else []
+    wide = df.agg(*aggs)
+
+    def cell(i, s, j):
+        return f"q_{j}[{qs.index(s)}]" if s in qs else f"`{i}_{j}`"
     rows = ", ".join(
-        f"'{s}', {i}, " + ", ".join(f"`{i}_{j}`" for j in range(len(measures)))
+        f"'{s}', {i}, " + ", ".join(cell(i, s, j) for j in range(len(measures)))
         for i, s in enumerate(stats))
     names = ", ".join(["summary", "stat_order"] + [f"`{m}`" for m in measures])
     return wide.selectExpr(f"stack({len(stats)}, {rows}) AS ({names})")

@@ -23,5 +23,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings inside the six-measure outlier band."""
+    """Readings inside the six-measure outlier band (landed gold)."""
+    return landing.gold(spark, sf_dir)
+
+
+def band_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outlier band computed now over the typed readings."""
     return outlier_band(readings(spark, sf_dir), MEASURES)

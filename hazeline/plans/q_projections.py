@@ -11,7 +11,7 @@ from hazeline.operators import filters as flt
 from hazeline.operators import nulls, projection
 from hazeline.operators.aggregates import mean_all_numeric
 from hazeline.plans.catalog import register
-from hazeline.plans.common import cleaned, raw, readings
+from hazeline.plans.common import band_live, cleaned, raw, readings
 from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, mean, with_
 from hazeline.schemas import MEASURES, RAW_MEASURES
 from hazeline.sources.adapter import bike_days
@@ -134,7 +134,9 @@ def filter_year(spark, sf_dir):
 
 @register("outlier_band", with_(CLEAN, "SELECT * FROM clean"))
 def outlier_band(spark, sf_dir):
-    return cleaned(spark, sf_dir)
+    """The band itself, computed live: one aggregate for the 12 cut-offs
+    (scalar subquery, run once), one filtering scan."""
+    return band_live(spark, sf_dir)
 
 
 @register("three_sigma_cutoff", with_(BASE, f"""

@@ -125,8 +125,9 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     value and props.k (integers for some keys, decimals for others), and
     four forecast arrays. ``time.v`` repeats the reference's trap: the local
     clock read as if it were UTC. Also returns ``date`` (local poll date)."""
-    e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    # props is parsed once per row; every later use reads the column.
+    e = table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k INT").getField("k"))
+    k = F.col("k")
     hour = F.date_trunc("hour", F.col("ts"))
     iaqi = {
         "co": F.col("value") / 100.0, "h": None, "no2": k.cast("double"),

@@ -1,7 +1,9 @@
 """Land the readings once as Parquet in the shared scratch folder.
 
 Bronze keeps the raw text (what a CSV scan gives); silver is the ingested,
-typed table partitioned by year, so year filters prune files. Both are
+typed table partitioned by year, so year filters prune files; gold is
+silver inside the outlier band (the reference's cleaning task writes its
+cleaned output once and the map and correlation tasks read it). All are
 written tables: they cut lineage, so a lost executor costs a task retry and
 not a recomputation of the joins. A landing is keyed by the input files
 (path, length, modification time) and reused while they are unchanged.
@@ -14,7 +16,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hazeline.operators.filters import outlier_band
 from hazeline.plans.readings import ingest
+from hazeline.schemas import MEASURES
 from hazeline.session import scratch_path
 from hazeline.sources import adapter, fs
 from hazeline.sources.tables import table_path
@@ -45,13 +49,14 @@ def _key(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1(f"{_code_version()}|{sf_dir}|{fp}".encode()).hexdigest()[:16]
 
 
-def landing_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def landing_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     base = scratch_path(spark, "landing", _key(spark, sf_dir))
-    return f"{base}/bronze", f"{base}/silver"
+    return f"{base}/bronze", f"{base}/silver", f"{base}/gold"
 
 
-def land(spark: SparkSession, sf_dir: str, force: bool = False) -> tuple[str, str]:
-    bronze, silver = landing_paths(spark, sf_dir)
+def land(spark: SparkSession, sf_dir: str, force: bool = False,
+         with_gold: bool = True) -> tuple[str, str, str]:
+    bronze, silver, gold = landing_paths(spark, sf_dir)
     if force or not fs.exists(spark, f"{bronze}/_SUCCESS"):
         adapter.raw_readings(spark, sf_dir).write.mode("overwrite").parquet(bronze)
     if force or not fs.exists(spark, f"{silver}/_SUCCESS"):
@@ -60,7 +65,15 @@ def land(spark: SparkSession, sf_dir: str, force: bool = False) -> tuple[str, st
         (ingest(spark.read.parquet(bronze))
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("year").parquet(silver))
-    return bronze, silver
+    if with_gold and (force or not fs.exists(spark, f"{gold}/_SUCCESS")):
+        write_clean(spark.read.parquet(silver), gold)
+    return bronze, silver, gold
+
+
+def write_clean(readings: DataFrame, path: str) -> None:
+    """The outlier band over all readings, written once, by year."""
+    (outlier_band(readings, MEASURES).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("year").parquet(path))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +84,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(land(spark, sf_dir)[1])
 
 
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(land(spark, sf_dir)[2])
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """Path of a table or file set derived from the inputs, written once by
     ``build(path)`` and reused while the inputs are unchanged."""
