@@ -17,7 +17,8 @@ DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a DataFrame (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
     except Exception:  # noqa: BLE001 - not available (e.g. Spark Connect)
         return None
 

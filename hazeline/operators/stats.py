@@ -51,13 +51,17 @@ def regression_residuals(df: DataFrame, pairs: list[tuple[str, str]], keys: list
     params = {n: (F.regr_slope(y, x), F.regr_intercept(y, x)) for n, (y, x) in enumerate(pairs)}
     p = df.agg(F.struct(*[c.alias(f"{k}{n}") for n, (s, i) in params.items()
                           for k, c in (("s", s), ("i", i))]).alias("p")).select("p").scalar()
-    rows = ", ".join(f"'{y}', '{x}', CAST({x} AS DOUBLE), CAST({y} AS DOUBLE), {n}"
+    clash = {"y_name", "x_name", "x", "y", "fitted", "residual"} & set(keys)
+    if clash:
+        raise ValueError(f"key columns clash with output columns: {sorted(clash)}")
+    rows = ", ".join(f"'{y}', '{x}', CAST(`{x}` AS DOUBLE), CAST(`{y}` AS DOUBLE), {n}"
                      for n, (y, x) in enumerate(pairs))
     long = df.selectExpr(*[f"`{k}`" for k in keys],
-                         f"stack({len(pairs)}, {rows}) AS (y_name, x_name, x, y, pair)")
-    slope = F.coalesce(*[F.when(F.col("pair") == n, p[f"s{n}"]) for n in params])
-    icept = F.coalesce(*[F.when(F.col("pair") == n, p[f"i{n}"]) for n in params])
-    fitted = icept + slope * F.col("x")
-    return long.select(*keys, "y_name", "x_name", "x", "y",
+                         f"stack({len(pairs)}, {rows}) AS (_yn, _xn, _x, _y, _pair)")
+    slope = F.coalesce(*[F.when(F.col("_pair") == n, p[f"s{n}"]) for n in params])
+    icept = F.coalesce(*[F.when(F.col("_pair") == n, p[f"i{n}"]) for n in params])
+    fitted = icept + slope * F.col("_x")
+    return long.select(*keys, F.col("_yn").alias("y_name"), F.col("_xn").alias("x_name"),
+                       F.col("_x").alias("x"), F.col("_y").alias("y"),
                        F.round(fitted, digits).alias("fitted"),
-                       F.round(F.col("y") - fitted, digits).alias("residual"))
+                       F.round(F.col("_y") - fitted, digits).alias("residual"))
