@@ -107,12 +107,14 @@ def histogram(df: DataFrame, measure: str, bins: int = 10) -> DataFrame:
     """Equal-width bin counts over the measure's own [min, max] range; the
     last bin is closed. The range is a scalar subquery (computed once)."""
     rng = df.agg(F.min(measure).alias("lo"), F.max(measure).alias("hi"))
-    r = rng.select(F.struct("lo", "hi").alias("r")).scalar()
-    lo, hi = r["lo"], r["hi"]
+    df = df.withColumn("_r", rng.select(F.struct("lo", "hi")).scalar())
+    lo, hi = F.col("_r")["lo"], F.col("_r")["hi"]
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor(F.try_divide(F.col(measure) - lo, width))
     b = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
+    # The range travels with its bin as grouping keys (one value per bin).
     return (df.filter(F.col(measure).isNotNull())
-              .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-              .select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
-                      (lo + (F.col("bin") + 1) * width).alias("bin_hi"), "n"))
+              .groupBy(b.alias("bin"), lo.alias("lo"), width.alias("width"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_lo"),
+                      (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_hi"), "n"))

@@ -61,14 +61,16 @@ def outlier_band(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS
     """Keep a row when every measure satisfies ``lo <= x < hi``; a NULL in
     any measure drops the row. Cut-offs come from the unfiltered rows.
 
-    The cut-offs are one struct computed by a scalar subquery: Spark runs it
-    once (ReusedSubquery), ships 2 * len(measures) doubles to the tasks and
-    the filter stays in whole-stage codegen. No join, no driver round trip.
+    The cut-offs are one struct computed by a scalar subquery, attached once
+    as a column (referenced 2 * len(measures) times through that column, so
+    Spark plans and runs one subquery); the tasks receive the doubles and the
+    filter stays in whole-stage codegen. No join, no driver round trip.
     """
     cut_df = band_cutoffs(df, measures, sigmas, q, lower_factor, accuracy)
-    cut = cut_df.select(F.struct(*cut_df.columns).alias("cut")).scalar()
-    return df.filter(_all([(F.col(m) >= cut[f"lo_{m}"]) & (F.col(m) < cut[f"hi_{m}"])
-                           for m in measures]))
+    with_cut = df.withColumn("_cut", cut_df.select(F.struct(*cut_df.columns)).scalar())
+    cut = F.col("_cut")
+    return with_cut.filter(_all([(F.col(m) >= cut[f"lo_{m}"]) & (F.col(m) < cut[f"hi_{m}"])
+                                 for m in measures])).drop("_cut")
 
 
 def sigma_cutoff(df: DataFrame, measure: str, sigmas: float = THREE_SIGMA) -> DataFrame:

@@ -49,14 +49,16 @@ def regression_residuals(df: DataFrame, pairs: list[tuple[str, str]], keys: list
     Line parameters are one struct from a scalar subquery (computed once);
     the points are unpivoted with ``stack`` (one pass over ``df``)."""
     params = {n: (F.regr_slope(y, x), F.regr_intercept(y, x)) for n, (y, x) in enumerate(pairs)}
-    p = df.agg(F.struct(*[c.alias(f"{k}{n}") for n, (s, i) in params.items()
-                          for k, c in (("s", s), ("i", i))]).alias("p")).select("p").scalar()
+    line = df.agg(F.struct(*[c.alias(f"{k}{n}") for n, (s, i) in params.items()
+                             for k, c in (("s", s), ("i", i))]).alias("p")).select("p").scalar()
+    df = df.withColumn("_p", line)
+    p = F.col("_p")
     clash = {"y_name", "x_name", "x", "y", "fitted", "residual"} & set(keys)
     if clash:
         raise ValueError(f"key columns clash with output columns: {sorted(clash)}")
     rows = ", ".join(f"'{y}', '{x}', CAST(`{x}` AS DOUBLE), CAST(`{y}` AS DOUBLE), {n}"
                      for n, (y, x) in enumerate(pairs))
-    long = df.selectExpr(*[f"`{k}`" for k in keys],
+    long = df.selectExpr(*[f"`{k}`" for k in keys], "_p",
                          f"stack({len(pairs)}, {rows}) AS (_yn, _xn, _x, _y, _pair)")
     slope = F.coalesce(*[F.when(F.col("_pair") == n, p[f"s{n}"]) for n in params])
     icept = F.coalesce(*[F.when(F.col("_pair") == n, p[f"i{n}"]) for n in params])
