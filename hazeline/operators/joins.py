@@ -79,8 +79,16 @@ def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal",
 
 
 def row_aligned_join(left: DataFrame, left_order: str, right: DataFrame,
-                     right_order: str) -> DataFrame:
-    """Horizontal concatenation of two frames, inner on row position."""
+                     right_order: str, checkpoint: bool = True) -> DataFrame:
+    """Horizontal concatenation of two frames, inner on row position.
+
+    Numbering reads its input three times (bounds, rows, counts); with
+    ``checkpoint`` each input is written once to the checkpoint folder and
+    the passes read that copy instead of recomputing it."""
+    if checkpoint:
+        from hazeline.session import scratch_dir
+        scratch_dir(left.sparkSession)  # a checkpoint folder exists (tests set their own)
+        left, right = left.checkpoint(), right.checkpoint()
     lo = with_ordinal(left, left_order)
     ro = with_ordinal(right, right_order)
     return lo.join(ro, "ordinal", "inner")

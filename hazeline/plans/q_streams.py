@@ -7,16 +7,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazeline.plans.catalog import register
-from hazeline.schemas import IAQI_KEYS
+from hazeline.schemas import FLAT_FIELDS, FORECAST_FIELDS, IAQI_KEYS
 from hazeline.sources import adapter, files, landing
 from hazeline.streaming import snapshots as snap
 
 
-def snapshot_dir(spark, sf_dir) -> str:
+def snapshot_dir(spark, sf_dir, force: bool = False) -> str:
     def build(p):
         (adapter.snapshot_documents(spark, sf_dir).write.mode("overwrite")
-                .partitionBy("date").json(p))
-    return landing.derived(spark, sf_dir, "snapshots_json", build)
+                .option("partitionOverwriteMode", "static").partitionBy("date").json(p))
+    return landing.derived(spark, sf_dir, "snapshots_json", build, force)
 
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
@@ -35,7 +35,7 @@ SELECT {_FLAT}, CAST(epoch(hr) AS BIGINT) - 32400 AS obs_epoch,
   CAST(epoch(hr) AS BIGINT) AS time_v FROM ev""")
 def snapshot_flatten(spark, sf_dir):
     """Nested documents to one flat row per poll."""
-    return snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir))).drop("obs_ts")
+    return snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir), FLAT_FIELDS)).drop("obs_ts")
 
 
 @register("forecast_unnest", f"""WITH {_EV},
@@ -46,7 +46,7 @@ SELECT CAST(user_id AS INTEGER) AS idx, {_SYNC} AS sync, pollutant,
   CAST(k + i - 2 AS INTEGER) AS min, CAST(k + i + 2 AS INTEGER) AS max FROM d""")
 def forecast_unnest(spark, sf_dir):
     """One row per (poll, pollutant, forecast day)."""
-    return snap.forecast_unnest(files.snapshots(spark, snapshot_dir(spark, sf_dir)))
+    return snap.forecast_unnest(files.snapshots(spark, snapshot_dir(spark, sf_dir), FORECAST_FIELDS))
 
 
 _LATEST_COLS = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
@@ -68,7 +68,7 @@ def snapshot_daily_latest(spark, sf_dir):
     """Last poll per (station, local date) wins, written one folder per date
     with dynamic partition overwrite, and read back."""
     path = landing.fresh(spark, "daily_latest")
-    flat = snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir)))
+    flat = snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir), FLAT_FIELDS))
     snap.write_daily_latest(flat, path)
     back = spark.read.parquet(path)
     return back.select(F.col("date").cast("string").alias("date"), "idx", *_LATEST_COLS)

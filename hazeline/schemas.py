@@ -83,3 +83,18 @@ GEOJSON = T.StructType([
             T.StructField("coordinates", T.StringType())])),
     ]))),
 ])
+
+
+# Top-level fields of ``data`` each snapshot reader needs. JSON scans do not
+# prune nested fields on their own, so readers pass the narrowest schema and
+# the parser skips the rest of each document.
+FLAT_FIELDS = ("aqi", "idx", "dominentpol", "iaqi", "time", "debug")
+FORECAST_FIELDS = ("idx", "forecast", "debug")
+
+
+def snapshot_schema(fields=None) -> T.StructType:
+    if fields is None:
+        return SNAPSHOT
+    data = SNAPSHOT["data"].dataType
+    return T.StructType([SNAPSHOT["status"], T.StructField("data", T.StructType(
+        [f for f in data.fields if f.name in fields]))])

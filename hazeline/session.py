@@ -59,7 +59,10 @@ def scratch_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="hazeline-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001 - connect sessions have no context
+            pass
         spark.conf.set("spark.checkpoint.dir", d)
     if d.startswith("file:"):
         d = d[len("file:"):]

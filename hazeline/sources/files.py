@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline.schemas import GEOJSON, SNAPSHOT
+from hazeline.schemas import GEOJSON, snapshot_schema
 
 
 def write_csv(df: DataFrame, path: str, encoding: str | None = None,
@@ -54,9 +54,10 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
-def snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Snapshot documents with the declared nested schema."""
-    return spark.read.schema(SNAPSHOT).json(path)
+def snapshots(spark: SparkSession, path: str, fields=None) -> DataFrame:
+    """Snapshot documents with the declared nested schema, limited to the
+    ``data`` fields a reader needs (the rest of each document is skipped)."""
+    return spark.read.schema(snapshot_schema(fields)).json(path)
 
 
 def geojson_features(spark: SparkSession, path: str) -> DataFrame:

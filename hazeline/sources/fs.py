@@ -13,7 +13,14 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
+    try:
+        fs, p = _fs_path(spark, path)
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): ask a reader
+        try:
+            spark.read.text(path).schema  # noqa: B018 - resolves the path only
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     return bool(fs.exists(p))
 
 
@@ -21,7 +28,13 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Length and modification time of every file under the paths."""
     parts = []
     for path in paths:
-        fs, p = _fs_path(spark, path)
+        try:
+            fs, p = _fs_path(spark, path)
+        except Exception:  # noqa: BLE001 - no JVM gateway: local paths only
+            import os
+            st = os.stat(path) if os.path.exists(path) else None
+            parts.append(f"{path}:{st.st_size}:{st.st_mtime_ns}" if st else f"{path}:missing")
+            continue
         if not fs.exists(p):
             parts.append(f"{path}:missing")
             continue

@@ -88,11 +88,11 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(land(spark, sf_dir)[2])
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+def derived(spark: SparkSession, sf_dir: str, name: str, build, force: bool = False) -> str:
     """Path of a table or file set derived from the inputs, written once by
     ``build(path)`` and reused while the inputs are unchanged."""
     path = scratch_path(spark, "landing", _key(spark, sf_dir), name)
-    if not fs.exists(spark, f"{path}/_SUCCESS"):
+    if force or not fs.exists(spark, f"{path}/_SUCCESS"):
         build(path)
     return path
 

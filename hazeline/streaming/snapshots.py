@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.schemas import FORECAST_KEYS, IAQI_KEYS, SNAPSHOT
+from hazeline.schemas import FLAT_FIELDS, FORECAST_KEYS, IAQI_KEYS, snapshot_schema
 
 _OUT = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
 
@@ -72,7 +72,7 @@ def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
     within the watermark) and each micro-batch's updated keys are written to
     ``out_dir/batch_id=<n>`` (overwrite per batch, so a retried batch is
     idempotent). Runs until the files present now are processed."""
-    reader = spark.readStream.schema(SNAPSHOT)
+    reader = spark.readStream.schema(snapshot_schema(FLAT_FIELDS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     flat = flatten(reader.json(source_dir))
