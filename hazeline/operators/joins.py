@@ -56,17 +56,29 @@ def series_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str
 def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal",
                  buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """0-based position of each row in ``order_col`` order, without a global
-    single-partition window. Rows go to range buckets whose bounds are
-    approximate quantiles of the order column (one scalar subquery); the
-    bucket is a function of the value, so every recomputation agrees. Rows
-    are numbered inside each bucket and shifted by the row count of all
-    earlier buckets (a table of one row per bucket)."""
+    single-partition window.
+
+    Rows go to range buckets whose bounds are approximate quantiles of the
+    order column (one scalar subquery). A value that holds many rows shows
+    up as several equal bounds; its rows are spread over all the buckets
+    those bounds span (ties have no order, so any split is valid), so a
+    value holding a third of all rows does not land in one task. The
+    bucketed frame is checkpointed, then rows are numbered inside each
+    bucket and shifted by the row count of all earlier buckets (a table of
+    one row per bucket)."""
+    from hazeline.session import scratch_dir
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / n for i in range(1, n)]
     bounds = df.agg(F.percentile_approx(order_col, probs, accuracy).alias("b")).scalar()
+    v = F.col(order_col)
+    lt = F.size(F.filter("_bounds", lambda x: x < v))
+    le = F.size(F.filter("_bounds", lambda x: x <= v))
+    spread = F.floor(F.rand(17) * (le - lt + 1)).cast("int")
+    scratch_dir(df.sparkSession)
     b = (df.withColumn("_bounds", bounds)
-           .withColumn("_b", F.size(F.filter("_bounds", lambda v: v < F.col(order_col))))
-           .drop("_bounds"))
+           .withColumn("_b", lt + F.when(le > lt, spread).otherwise(F.lit(0)))
+           .drop("_bounds")
+           .checkpoint())  # fixes the random spread for both passes below
     local = b.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_b").orderBy(order_col)) - 1)
     counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -79,16 +91,8 @@ def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal",
 
 
 def row_aligned_join(left: DataFrame, left_order: str, right: DataFrame,
-                     right_order: str, checkpoint: bool = True) -> DataFrame:
-    """Horizontal concatenation of two frames, inner on row position.
-
-    Numbering reads its input three times (bounds, rows, counts); with
-    ``checkpoint`` each input is written once to the checkpoint folder and
-    the passes read that copy instead of recomputing it."""
-    if checkpoint:
-        from hazeline.session import scratch_dir
-        scratch_dir(left.sparkSession)  # a checkpoint folder exists (tests set their own)
-        left, right = left.checkpoint(), right.checkpoint()
+                     right_order: str) -> DataFrame:
+    """Horizontal concatenation of two frames, inner on row position."""
     lo = with_ordinal(left, left_order)
     ro = with_ordinal(right, right_order)
     return lo.join(ro, "ordinal", "inner")

@@ -42,3 +42,16 @@ def test_row_aligned_join_inner_on_position(spark):
     out = joins.row_aligned_join(a, "x", b, "y").collect()
     assert len(out) == 30
     assert all(r.x == 2 * r.ordinal and r.y == 3 * r.ordinal for r in out)
+
+
+def test_ordinal_hot_value_is_split(spark):
+    # One value holds a third of the rows: positions stay a permutation in
+    # value order, and the hot value is spread over several buckets.
+    hot = [(5000,)] * 4000
+    rest = [(v,) for v in range(8000)]
+    df = inline_rows(spark, hot + rest, "v int")
+    out = joins.with_ordinal(df, "v", buckets=12)
+    rows = out.collect()
+    assert sorted(r.ordinal for r in rows) == list(range(12000))
+    by_pos = [r.v for r in sorted(rows, key=lambda r: r.ordinal)]
+    assert by_pos == sorted(v for (v,) in hot + rest)
