@@ -40,6 +40,12 @@ DIRT_NULL_NO2 = (89, 2)         # NO2 -> NULL (empty CSV cell)
 DIRT_NAN_PM10 = (83, 3)         # PM10 -> 'NaN'
 
 
+def _small(df: DataFrame) -> bool:
+    from hazeline.operators.joins import broadcast_limit, estimated_bytes
+    size = estimated_bytes(df)
+    return size is not None and size <= broadcast_limit(df)
+
+
 def _hit(key, rule):
     mod, rem = rule
     return (key % mod) == rem
@@ -63,6 +69,11 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     st = stations(spark, sf_dir)
+    # The station dimension has one row per supplier (nation and region are
+    # key lookups), so its size is checked on the supplier scan: broadcast
+    # under the threshold, sort-merge join beyond it.
+    if _small(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")):
+        st = F.broadcast(st)
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey)
            .join(st, li.l_suppkey == st.s_suppkey))
