@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.functions.safe import exact_mean
-from hazeline.schemas import QUANTILE_ACCURACY
+from hazeline.operators.quantiles import exact_quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -74,10 +74,10 @@ DESCRIBE_STATS = ["count", "mean", "stddev", "min", "max"]
 
 
 def profile(df: DataFrame, measures: list[str], stats: list[str] | None = None,
-            accuracy: int = QUANTILE_ACCURACY, digits: int = 6) -> DataFrame:
+            digits: int = 6) -> DataFrame:
     """Column profile in long form: one row per statistic, one DOUBLE column
-    per measure. One aggregate pass (percentiles by a mergeable sketch), then
-    an unpivot of the single result row by ``stack``."""
+    per measure. Quartiles are exact (distributed selection); the other
+    statistics are one aggregate pass, unpivoted by ``stack``."""
     stats = stats or PROFILE_STATS
     qs = [s for s in stats if s.endswith("%")]
     exprs = {
@@ -89,16 +89,13 @@ def profile(df: DataFrame, measures: list[str], stats: list[str] | None = None,
     }
     aggs = [exprs[s](m).alias(f"{i}_{j}") for i, s in enumerate(stats) if s in exprs
             for j, m in enumerate(measures)]
-    # All quantiles of a column from one sketch.
-    aggs += [F.percentile_approx(m, [float(q[:-1]) / 100 for q in qs], accuracy).alias(f"q_{j}")
-             for j, m in enumerate(measures)] if qs else []
+    # Quartiles by exact selection (bounded passes); they enter as literals.
+    qv = exact_quantiles(df, measures, [float(q[:-1]) / 100 for q in qs]) if qs else {}
+    aggs += [F.lit(qv[(m, float(s[:-1]) / 100)]).cast("double").alias(f"{i}_{j}")
+             for i, s in enumerate(stats) if s in qs for j, m in enumerate(measures)]
     wide = df.agg(*aggs)
-
-    def cell(i, s, j):
-        return f"q_{j}[{qs.index(s)}]" if s in qs else f"`{i}_{j}`"
-    rows = ", ".join(
-        f"'{s}', {i}, " + ", ".join(cell(i, s, j) for j in range(len(measures)))
-        for i, s in enumerate(stats))
+    rows = ", ".join(f"'{s}', {i}, " + ", ".join(f"`{i}_{j}`" for j in range(len(measures)))
+                     for i, s in enumerate(stats))
     names = ", ".join(["summary", "stat_order"] + [f"`{m}`" for m in measures])
     return wide.selectExpr(f"stack({len(stats)}, {rows}) AS ({names})")
 

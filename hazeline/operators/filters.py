@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.safe import exact_mean
-from hazeline.schemas import (BAND_LOWER_FACTOR, BAND_QUANTILE, BAND_SIGMAS,
-                              QUANTILE_ACCURACY, THREE_SIGMA)
+from hazeline.operators.quantiles import exact_quantiles
+from hazeline.schemas import BAND_LOWER_FACTOR, BAND_QUANTILE, BAND_SIGMAS, THREE_SIGMA
 
 
 def _all(conds: list[Column]) -> Column:
@@ -42,35 +42,48 @@ def filter_year_month(df: DataFrame, date_col: str, year: int, month: int | None
     return df.filter(cond)
 
 
-def band_cutoffs(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS,
-                 q: float = BAND_QUANTILE, lower_factor: float = BAND_LOWER_FACTOR,
-                 accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """One row: ``lo_<m>`` = q-quantile * lower_factor and ``hi_<m>`` =
-    mean + sigmas * stddev_samp for every measure, in a single aggregate
-    (partial aggregation per task, one small merge)."""
-    out = []
+def cutoff_values(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS,
+                  q: float = BAND_QUANTILE, lower_factor: float = BAND_LOWER_FACTOR
+                  ) -> dict[str, float | None]:
+    """``lo_<m>`` = exact q-quantile * lower_factor and ``hi_<m>`` = mean +
+    sigmas * stddev_samp, from the unfiltered rows: a few aggregate passes
+    (exact selection, see ``quantiles``) return 2 * len(measures) numbers."""
+    extras = [(exact_mean(m) + sigmas * F.stddev_samp(m)).alias(f"hi_{m}") for m in measures]
+    qv, row = exact_quantiles(df, measures, [q], extras=extras)
+    out = {}
     for m in measures:
-        out.append((F.percentile_approx(m, q, accuracy) * lower_factor).alias(f"lo_{m}"))
-        out.append((exact_mean(m) + sigmas * F.stddev_samp(m)).alias(f"hi_{m}"))
-    return df.agg(*out)
+        v = qv[(m, q)]
+        out[f"lo_{m}"] = None if v is None else v * lower_factor
+        out[f"hi_{m}"] = row[f"hi_{m}"]
+    return out
+
+
+def band_cutoffs(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS,
+                 q: float = BAND_QUANTILE, lower_factor: float = BAND_LOWER_FACTOR) -> DataFrame:
+    """The cut-offs as a one-row frame (for inspection and sinks)."""
+    cut = cutoff_values(df, measures, sigmas, q, lower_factor)
+    return df.sparkSession.createDataFrame(
+        [tuple(cut[k] for k in cut)], ", ".join(f"`{k}` double" for k in cut))
 
 
 def outlier_band(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS,
                  q: float = BAND_QUANTILE, lower_factor: float = BAND_LOWER_FACTOR,
-                 accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+                 cutoffs: dict | None = None) -> DataFrame:
     """Keep a row when every measure satisfies ``lo <= x < hi``; a NULL in
     any measure drops the row. Cut-offs come from the unfiltered rows.
 
-    The cut-offs are one struct computed by a scalar subquery, attached once
-    as a column (referenced 2 * len(measures) times through that column, so
-    Spark plans and runs one subquery); the tasks receive the doubles and the
-    filter stays in whole-stage codegen. No join, no driver round trip.
-    """
-    cut_df = band_cutoffs(df, measures, sigmas, q, lower_factor, accuracy)
-    with_cut = df.withColumn("_cut", cut_df.select(F.struct(*cut_df.columns)).scalar())
-    cut = F.col("_cut")
-    return with_cut.filter(_all([(F.col(m) >= cut[f"lo_{m}"]) & (F.col(m) < cut[f"hi_{m}"])
-                                 for m in measures])).drop("_cut")
+    The cut-offs are computed first (exact quantiles, bounded results) and
+    enter the plan as literals: the 12-term filter stays in whole-stage
+    codegen and is pushed into the Parquet scan, where row-group statistics
+    can skip data. No join and no per-row driver work."""
+    cut = cutoffs or cutoff_values(df, measures, sigmas, q, lower_factor)
+    conds = []
+    for m in measures:
+        lo, hi = cut[f"lo_{m}"], cut[f"hi_{m}"]
+        if lo is None or hi is None:       # no non-NULL value: nothing can pass
+            return df.limit(0)
+        conds.append((F.col(m) >= F.lit(lo)) & (F.col(m) < F.lit(hi)))
+    return df.filter(_all(conds))
 
 
 def sigma_cutoff(df: DataFrame, measure: str, sigmas: float = THREE_SIGMA) -> DataFrame:

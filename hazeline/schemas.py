@@ -12,9 +12,6 @@ BAND_SIGMAS = 2.0          # upper cut-off: mean + 2 * stddev_samp (exclusive)
 BAND_QUANTILE = 0.25       # lower cut-off: q25 / 2 (inclusive)
 BAND_LOWER_FACTOR = 0.5
 THREE_SIGMA = 3.0
-# Exact discrete quartile while a group holds fewer rows than this;
-# beyond it a stated approximation with relative rank error 1/accuracy.
-QUANTILE_ACCURACY = 1_000_000
 
 RAW_READING_COLUMNS = ["Measurement date", "Station code", "Address",
                        "Latitude", "Longitude"] + RAW_MEASURES

@@ -41,7 +41,7 @@ def _code_version() -> str:
 
 _SHAPING_MODULES = ["sources/adapter.py", "sources/files.py", "plans/readings.py",
                     "functions/safe.py", "functions/dates.py", "functions/address.py",
-                    "schemas.py"]
+                    "operators/filters.py", "operators/quantiles.py", "schemas.py"]
 
 
 def _key(spark: SparkSession, sf_dir: str) -> str:
