@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from hazeline.operators import aggregates as agg
 from hazeline.plans.catalog import register
-from hazeline.plans.common import STATION_KEYS, cleaned, raw, readings
-from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, mean, means, with_
-from hazeline.schemas import MEASURES, RAW_READING_COLUMNS
+from hazeline.plans.common import STATION_KEYS, cleaned, readings
+from hazeline.plans.oracle import BASE, CLEAN, mean, means, with_
+from hazeline.schemas import MEASURES
 from hazeline.sources.adapter import bike_days
 
 Z = "CAST(0.0 AS DOUBLE)"
@@ -127,17 +127,20 @@ def daily_mean(spark, sf_dir):
     return agg.mean_by(readings(spark, sf_dir), ["day"], MEASURES)
 
 
-_RAW_ALL = ["reading_id", *RAW_READING_COLUMNS]
+_INVOICE_COLS = ["InvoiceNo", "LineNo", "Description", "Quantity", "InvoiceDate", "Amount"]
 
 
-@register("group_nonnull_count", with_([STATIONS, RAW], """
-SELECT substr("Measurement date", 4, 1) AS key, """ + ", ".join(
-    f'CAST(count("{c}") AS BIGINT) AS "{c}"' for c in _RAW_ALL) + " FROM raw GROUP BY 1"))
+@register("group_nonnull_count", """
+SELECT substr(strftime(l.l_shipdate, '%m/%d/%Y %H:%M'), 4, 1) AS key, """ + ", ".join(
+    f'CAST(count(*) AS BIGINT) AS "{c}"' for c in _INVOICE_COLS) + """
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1""")
 def group_nonnull_count(spark, sf_dir):
-    """Non-NULL count of every column per one-character key."""
-    df = raw(spark, sf_dir)
-    keyed = df.select(F.substring(F.col("`Measurement date`"), 4, 1).alias("key"),
-                      *[F.col(f"`{c}`") for c in _RAW_ALL])
+    """Non-NULL count of every column per one-character key of the invoice
+    date (its fourth character), over the Latin-1 invoice file."""
+    from hazeline.plans.q_scans import INVOICE, LATIN1, invoices_csv
+    from hazeline.sources import files
+    inv = files.csv_typed(spark, invoices_csv(spark, sf_dir), INVOICE, encoding=LATIN1)
+    keyed = inv.select(F.substring("InvoiceDate", 4, 1).alias("key"), *_INVOICE_COLS)
     return agg.nonnull_count_by(keyed, ["key"])
 
 
