@@ -59,3 +59,14 @@ def predict(model: LinearRegressionModel, df: DataFrame, inputs: list[str], labe
     data = assemble(df.select(*keep, *[c for c in inputs if c not in keep], label),
                     inputs, handle_invalid="skip")
     return model.transform(data).select(*keep, label, "prediction")
+
+
+def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> dict:
+    """Hold-out RMSE and R2 in one aggregate pass (the evaluator runs one
+    pass per metric)."""
+    y, p = F.col(label), F.col(prediction)
+    r = pred.agg(F.count(y).alias("n"), F.avg((y - p) * (y - p)).alias("mse"),
+                 F.var_pop(y).alias("var")).first()
+    rmse = r.mse ** 0.5 if r.mse is not None else None
+    r2 = 1.0 - r.mse / r.var if r.var else None
+    return {"n": r.n, "rmse": rmse, "r2": r2}

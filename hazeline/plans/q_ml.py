@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from hazeline.operators import ml
@@ -67,6 +66,5 @@ def linear_predict(spark, sf_dir):
     hold-out RMSE and R2 attached as columns."""
     model, test = _fit(spark, sf_dir)
     pred = ml.predict(model, test, FEATURES, LABEL, ["reading_id"])
-    rmse = RegressionEvaluator(labelCol=LABEL, metricName="rmse").evaluate(pred)
-    r2 = RegressionEvaluator(labelCol=LABEL, metricName="r2").evaluate(pred)
-    return pred.withColumn("test_rmse", F.lit(rmse)).withColumn("test_r2", F.lit(r2))
+    m = ml.regression_metrics(pred, LABEL)
+    return pred.withColumn("test_rmse", F.lit(m["rmse"])).withColumn("test_r2", F.lit(m["r2"]))

@@ -55,3 +55,13 @@ def test_hash_split_disjoint_complete(spark):
     assert 0.70 < counts["train"] / 20000 < 0.80
     again = ml.hash_split(spark.range(0, 20000).withColumnRenamed("id", "k").repartition(3), "k")
     assert df.join(again, ["k", "part"]).count() == 20000   # independent of partitioning
+
+
+def test_metrics_match_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    df = spark.range(1, 300).select((F.col("id") * 1.0).alias("y"),
+                                    (F.col("id") * 1.0 + F.sin("id")).alias("prediction"))
+    m = ml.regression_metrics(df, "y")
+    for name in ("rmse", "r2"):
+        ev = RegressionEvaluator(labelCol="y", metricName=name).evaluate(df)
+        assert math.isclose(m[name], ev, rel_tol=1e-9)
