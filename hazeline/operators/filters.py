@@ -80,8 +80,8 @@ def outlier_band(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS
     conds = []
     for m in measures:
         lo, hi = cut[f"lo_{m}"], cut[f"hi_{m}"]
-        if lo is None or hi is None:       # no non-NULL value: nothing can pass
-            return df.limit(0)
+        if lo is None or hi is None:       # no non-NULL value: no row can pass
+            return df.filter(F.lit(False))
         conds.append((F.col(m) >= F.lit(lo)) & (F.col(m) < F.lit(hi)))
     return df.filter(_all(conds))
 

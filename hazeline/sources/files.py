@@ -70,10 +70,19 @@ def geojson_features(spark: SparkSession, path: str) -> DataFrame:
                     F.col("f.geometry").alias("geometry"))
 
 
-def write_geojson(boundaries: DataFrame, path: str) -> None:
+# A FeatureCollection is one JSON value, built in one task: the writer takes
+# boundary sets up to this many features (the districts of a city are tens).
+MAX_GEOJSON_FEATURES = 100_000
+
+
+def write_geojson(boundaries: DataFrame, path: str,
+                  max_features: int = MAX_GEOJSON_FEATURES) -> None:
     """One pretty-printed FeatureCollection document. The whole collection
-    is one JSON value, so it is built in one task: only for boundary sets
-    of bounded size (districts of a city)."""
+    is one JSON value, so it is built in one task; the feature count is
+    checked first and a larger set is refused rather than truncated."""
+    n = boundaries.count()
+    if n > max_features:
+        raise ValueError(f"{n} features exceed the single-document bound {max_features}")
     feats = boundaries.select(F.struct(
         F.lit("Feature").alias("type"),
         F.struct("SIG_ENG_NM").alias("properties"),
