@@ -12,9 +12,11 @@ not a recomputation of the joins. A landing is keyed by the input files
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazeline.operators.filters import outlier_band
 from hazeline.plans.readings import ingest
@@ -60,9 +62,13 @@ def land(spark: SparkSession, sf_dir: str, force: bool = False,
     if force or not fs.exists(spark, f"{bronze}/_SUCCESS"):
         adapter.raw_readings(spark, sf_dir).write.mode("overwrite").parquet(bronze)
     if force or not fs.exists(spark, f"{silver}/_SUCCESS"):
-        # A whole-table write: static overwrite, which also leaves _SUCCESS
-        # at the root (dynamic mode, if the session sets it, does not).
-        (ingest(spark.read.parquet(bronze))
+        raw = spark.read.parquet(bronze)
+        # One shuffle on (year, salt) so each task writes one year's file of
+        # bounded size: without it every task writes a file per year, which
+        # at scale means tasks x years small files. A hot year spreads over
+        # its salts. Static overwrite (a whole-table write) keeps _SUCCESS.
+        salts = _salts(raw)
+        (ingest(raw).repartition(F.col("year"), F.pmod(F.xxhash64("reading_id"), F.lit(salts)))
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("year").parquet(silver))
     if with_gold and (force or not fs.exists(spark, f"{gold}/_SUCCESS")):
@@ -70,6 +76,17 @@ def land(spark: SparkSession, sf_dir: str, force: bool = False,
     return bronze, silver, gold
 
 
+# Landed file size to aim for; the salt count per year follows from the
+# size of the raw landing.
+TARGET_FILE_BYTES = 1 << 30
+
+
+def _salts(df: DataFrame) -> int:
+    from hazeline.operators.joins import estimated_bytes
+    size = estimated_bytes(df) or 0
+    return max(1, math.ceil(size / TARGET_FILE_BYTES))
+
+
 def write_clean(readings: DataFrame, path: str) -> None:
     """The outlier band over all readings, written once, by year."""
     (outlier_band(readings, MEASURES).write.mode("overwrite")
