@@ -15,7 +15,7 @@ def _doc(aqi, sync, co, hour="2024-08-25 00:00:00", idx=5508):
     d = hour[:10]
     return {"status": "ok", "data": {
         "aqi": aqi, "idx": idx, "dominentpol": "pm25", "attributions": [],
-        "city": {"geo": [37.5, 127.0], "name": "Seoul", "url": "u", "location": ""},
+        "city": {"geo": [37.5, 127.0], "name": "Metro City", "url": "u", "location": ""},
         "iaqi": {"co": {"v": co}, "pm25": {"v": aqi}, "t": {"v": 26}},
         "time": {"s": hour, "tz": "+09:00", "v": 1724544000,
                  "iso": f"{d}T{hour[11:]}+09:00"},
