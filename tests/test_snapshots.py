@@ -67,3 +67,24 @@ def test_stream_equals_batch(spark, newer_first):
     assert sorted(got.values()) == [40, 93]
     # one file per micro-batch (plus a no-data batch when the watermark moves)
     assert len([p for p in os.listdir(f"{run}/out") if p.startswith("batch_id=")]) >= 3
+
+
+def test_stream_restart_keeps_state(spark):
+    """Stop after the first files, restart from the same checkpoint when a
+    later revision arrives: state carries over, old files are not re-read."""
+    src = tempfile.mkdtemp(prefix="hz-restart-src-")
+    run = tempfile.mkdtemp(prefix="hz-restart-run-")
+    now = time.time()
+    _write(src, "a.json", OLD, now - 100)
+    snap.stream_latest(spark, src, f"{run}/out", f"{run}/ckpt")
+    first = {r.idx: r.aqi for r in snap.read_stream_result(spark, f"{run}/out").collect()}
+    assert first == {5508: 91}
+    _write(src, "b.json", NEW, now - 50)
+    snap.stream_latest(spark, src, f"{run}/out", f"{run}/ckpt")
+    second = {r.idx: r.aqi for r in snap.read_stream_result(spark, f"{run}/out").collect()}
+    assert second == {5508: 93}
+    # An older revision arriving after the newer one does not win.
+    _write(src, "c.json", _doc(90, "2024-08-25T00:05:00+09:00", 6), now - 10)
+    snap.stream_latest(spark, src, f"{run}/out", f"{run}/ckpt")
+    third = {r.idx: r.aqi for r in snap.read_stream_result(spark, f"{run}/out").collect()}
+    assert third == {5508: 93}
