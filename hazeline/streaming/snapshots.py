@@ -66,12 +66,15 @@ def write_daily_latest(flat: DataFrame, path: str) -> None:
 
 def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
                   watermark: str = "1 day", window: str = "1 hour",
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None,
+                  processing_time: str | None = None):
     """Structured Streaming job: snapshot files arrive in ``source_dir``; the
     latest revision per (station, hour) is kept in state (one row per key
     within the watermark) and each micro-batch's updated keys are written to
     ``out_dir/batch_id=<n>`` (overwrite per batch, so a retried batch is
-    idempotent). Runs until the files present now are processed."""
+    idempotent). By default it runs until the files present now are
+    processed; with ``processing_time`` (e.g. "1 minute") it keeps running
+    and the started query is returned."""
     reader = spark.readStream.schema(snapshot_schema(FLAT_FIELDS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -85,10 +88,13 @@ def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    q = (out.writeStream.outputMode("update").foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(availableNow=True).start())
+    w = (out.writeStream.outputMode("update").foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint_dir))
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
+    return None
 
 
 def read_stream_result(spark: SparkSession, out_dir: str) -> DataFrame:
