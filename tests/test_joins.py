@@ -55,3 +55,10 @@ def test_ordinal_hot_value_is_split(spark):
     assert sorted(r.ordinal for r in rows) == list(range(12000))
     by_pos = [r.v for r in sorted(rows, key=lambda r: r.ordinal)]
     assert by_pos == sorted(v for (v,) in hot + rest)
+
+
+def test_cluster_settings_scale():
+    from hazeline.session import cluster_settings
+    c = cluster_settings(100 << 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
