@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,8 +57,18 @@ def landing_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     return f"{base}/bronze", f"{base}/silver", f"{base}/gold"
 
 
+# One writer at a time per process: queries called from several threads
+# must not land the same folder twice at once.
+_LOCK = threading.RLock()
+
+
 def land(spark: SparkSession, sf_dir: str, force: bool = False,
          with_gold: bool = True) -> tuple[str, str, str]:
+    with _LOCK:
+        return _land(spark, sf_dir, force, with_gold)
+
+
+def _land(spark: SparkSession, sf_dir: str, force: bool, with_gold: bool) -> tuple[str, str, str]:
     bronze, silver, gold = landing_paths(spark, sf_dir)
     if force or not fs.exists(spark, f"{bronze}/_SUCCESS"):
         adapter.raw_readings(spark, sf_dir).write.mode("overwrite").parquet(bronze)
@@ -109,8 +120,9 @@ def derived(spark: SparkSession, sf_dir: str, name: str, build, force: bool = Fa
     """Path of a table or file set derived from the inputs, written once by
     ``build(path)`` and reused while the inputs are unchanged."""
     path = scratch_path(spark, "landing", _key(spark, sf_dir), name)
-    if force or not fs.exists(spark, f"{path}/_SUCCESS"):
-        build(path)
+    with _LOCK:
+        if force or not fs.exists(spark, f"{path}/_SUCCESS"):
+            build(path)
     return path
 
 
