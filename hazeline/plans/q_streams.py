@@ -14,8 +14,13 @@ from hazeline.streaming import snapshots as snap
 
 def snapshot_dir(spark, sf_dir, force: bool = False) -> str:
     def build(p):
-        (adapter.snapshot_documents(spark, sf_dir).write.mode("overwrite")
-                .option("partitionOverwriteMode", "static").partitionBy("date").json(p))
+        # One file per date (and salt, at scale): the shuffle spreads the
+        # document building over tasks whatever the input's file layout.
+        docs = adapter.snapshot_documents(spark, sf_dir)
+        salts = landing.salts_for(adapter.table(spark, sf_dir, "events"))
+        (docs.repartition(F.col("date"), F.pmod(F.xxhash64("data.idx"), F.lit(salts)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("date").json(p))
     return landing.derived(spark, sf_dir, "snapshots_json", build, force)
 
 

@@ -147,10 +147,12 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     day0 = F.to_date("ts")
 
     def forecast(name):
+        # The day offsets are fixed per pollutant: a literal array of
+        # structs (no lambda, so it stays in generated code).
         lo, hi = FORECAST_SPANS[name]
-        return F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda i: F.struct(
+        return F.array(*[F.struct(
             (k + i).alias("avg"), F.date_format(F.date_add(day0, i), "yyyy-MM-dd").alias("day"),
-            (k + i + 2).alias("max"), (k + i - 2).alias("min")))
+            (k + i + 2).alias("max"), (k + i - 2).alias("min")) for i in range(lo, hi)])
 
     epoch_as_utc = (F.unix_date(day0).cast("bigint") * 86400 + F.hour("ts").cast("bigint") * 3600)
     data = F.struct(

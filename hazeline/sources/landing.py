@@ -78,7 +78,7 @@ def _land(spark: SparkSession, sf_dir: str, force: bool, with_gold: bool) -> tup
         # bounded size: without it every task writes a file per year, which
         # at scale means tasks x years small files. A hot year spreads over
         # its salts. Static overwrite (a whole-table write) keeps _SUCCESS.
-        salts = _salts(raw)
+        salts = salts_for(raw)
         (ingest(raw).repartition(F.col("year"), F.pmod(F.xxhash64("reading_id"), F.lit(salts)))
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("year").parquet(silver))
@@ -92,7 +92,7 @@ def _land(spark: SparkSession, sf_dir: str, force: bool, with_gold: bool) -> tup
 TARGET_FILE_BYTES = 1 << 30
 
 
-def _salts(df: DataFrame) -> int:
+def salts_for(df: DataFrame) -> int:
     from hazeline.operators.joins import estimated_bytes
     size = estimated_bytes(df) or 0
     return max(1, math.ceil(size / TARGET_FILE_BYTES))
