@@ -24,20 +24,27 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes; 0 when the session
+    disables automatic broadcasts (then no size-checked hint is added)."""
     v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    if v is None:
+        return DEFAULT_BROADCAST_BYTES
+    t = str(v).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     try:
-        n = int(str(v).lower().rstrip("b")) if v is not None else DEFAULT_BROADCAST_BYTES
+        t = t[:-1] if t.endswith("b") else t
+        n = int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
     except ValueError:
-        n = DEFAULT_BROADCAST_BYTES
-    return n if n > 0 else DEFAULT_BROADCAST_BYTES
+        return DEFAULT_BROADCAST_BYTES
+    return max(n, 0)
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` if its estimated size is known and under the limit;
     the unchanged frame (shuffle join) otherwise."""
-    limit = max_bytes or broadcast_limit(df)
+    limit = max_bytes if max_bytes is not None else broadcast_limit(df)
     size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    return F.broadcast(df) if limit > 0 and size is not None and size <= limit else df
 
 
 def boundary_join(boundaries: DataFrame, name_col: str, values: DataFrame, key_col: str) -> DataFrame:

@@ -42,8 +42,8 @@ DIRT_NAN_PM10 = (83, 3)         # PM10 -> 'NaN'
 
 def _small(df: DataFrame) -> bool:
     from hazeline.operators.joins import broadcast_limit, estimated_bytes
-    size = estimated_bytes(df)
-    return size is not None and size <= broadcast_limit(df)
+    size, limit = estimated_bytes(df), broadcast_limit(df)
+    return limit > 0 and size is not None and size <= limit
 
 
 def _hit(key, rule):
