@@ -41,8 +41,15 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage and task times without the UI: Spark's event log, written to
+        # BENCH_EVENT_LOG_DIR or a new local folder (the bench runs locally).
+        import tempfile
+        root = os.environ.get("BENCH_EVENT_LOG_DIR") or tempfile.mkdtemp(prefix="hazeline-events-")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": root}
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          app="hazeline-bench")
+                          app="hazeline-bench", extra=extra)
     load_all()
     # Untimed JVM/JIT warm-up on the smallest tables (its own landing key).
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

@@ -89,11 +89,17 @@ def profile(df: DataFrame, measures: list[str], stats: list[str] | None = None,
     }
     aggs = [exprs[s](m).alias(f"{i}_{j}") for i, s in enumerate(stats) if s in exprs
             for j, m in enumerate(measures)]
-    # Quartiles by exact selection (bounded passes); they enter as literals.
-    qv = exact_quantiles(df, measures, [float(q[:-1]) / 100 for q in qs]) if qs else {}
-    aggs += [F.lit(qv[(m, float(s[:-1]) / 100)]).cast("double").alias(f"{i}_{j}")
-             for i, s in enumerate(stats) if s in qs for j, m in enumerate(measures)]
-    wide = df.agg(*aggs)
+    spark = df.sparkSession
+    if qs:
+        # Quartiles by exact selection; the other statistics ride along in
+        # its first pass, so the whole profile is a few bounded results.
+        qv, row = exact_quantiles(df, measures, [float(q[:-1]) / 100 for q in qs], extras=aggs)
+        vals = {f"{i}_{j}": (qv[(m, float(s[:-1]) / 100)] if s in qs else row[f"{i}_{j}"])
+                for i, s in enumerate(stats) for j, m in enumerate(measures)}
+        wide = spark.createDataFrame([tuple(None if v is None else float(v) for v in vals.values())],
+                                     ", ".join(f"`{k}` double" for k in vals))
+    else:
+        wide = df.agg(*aggs)
     rows = ", ".join(f"'{s}', {i}, " + ", ".join(f"`{i}_{j}`" for j in range(len(measures)))
                      for i, s in enumerate(stats))
     names = ", ".join(["summary", "stat_order"] + [f"`{m}`" for m in measures])
