@@ -6,7 +6,8 @@ available, so this adapter derives the same shape from the driver tables:
 =====================  =============================================
 readings column        derived from
 =====================  =============================================
-reading_id             l_orderkey * 8 + l_linenumber (unique per line)
+reading_id             l_orderkey * 8 + l_linenumber (a line key; the
+                       driver data repeats some pairs, so not unique)
 Measurement date       l_shipdate as ``yyyy-MM-dd HH:mm`` text
 Station code           s_suppkey as text
 Address                "<suppkey>, <s_name>, <n_name>, <r_name>";
