@@ -62,19 +62,19 @@ def group_max_all(spark, sf_dir):
 _F5 = ["station", "latitude", "longitude", *MEASURES]
 
 
-def _district_mean(spark, sf_dir):
+def district_mean_table(spark, sf_dir):
     df = readings(spark, sf_dir).select("district", *_F5)
     return agg.mean_all_numeric(df, ["district"])
 
 
-_F5_SQL = f"SELECT district, {means(_F5)} FROM silver WHERE district IS NOT NULL GROUP BY district"
+DISTRICT_MEAN_SQL = f"SELECT district, {means(_F5)} FROM silver WHERE district IS NOT NULL GROUP BY district"
 
 
-@register("district_mean", with_(BASE, _F5_SQL))
+@register("district_mean", with_(BASE, DISTRICT_MEAN_SQL))
 def district_mean(spark, sf_dir):
     """District mean over all years of every numeric column (station code,
     latitude and longitude are averaged too, as in the reference)."""
-    return _district_mean(spark, sf_dir)
+    return district_mean_table(spark, sf_dir)
 
 
 @register("district_avg_named", with_(BASE, f"""
@@ -147,11 +147,11 @@ def group_nonnull_count(spark, sf_dir):
 _RANGE = ", ".join(f'min("{m}") + {Z} AS "min_{m}", max("{m}") + {Z} AS "max_{m}"' for m in MEASURES)
 
 
-@register("measure_range", with_(BASE, f"SELECT {_RANGE} FROM ({_F5_SQL}) d"))
+@register("measure_range", with_(BASE, f"SELECT {_RANGE} FROM ({DISTRICT_MEAN_SQL}) d"))
 def measure_range(spark, sf_dir):
     """Min and max of each measure over the district mean table (a shared
     colour scale for the maps)."""
-    return agg.measure_range(_district_mean(spark, sf_dir), MEASURES)
+    return agg.measure_range(district_mean_table(spark, sf_dir), MEASURES)
 
 
 _NN = " AND ".join(f"{k} IS NOT NULL" for k in STATION_KEYS + ["year"])

@@ -10,7 +10,7 @@ from hazeline import sinks
 from hazeline.plans.catalog import register
 from hazeline.plans.common import cleaned, raw
 from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, means, with_
-from hazeline.plans.q_aggregates import _district_mean, _F5_SQL
+from hazeline.plans.q_aggregates import DISTRICT_MEAN_SQL, district_mean_table
 from hazeline.plans.readings import ingest
 from hazeline.schemas import MEASURES, RAW_MEASURES
 from hazeline.sources import adapter, files, landing
@@ -171,12 +171,12 @@ def _count_and_means(df, keys):
                                  *[exact_mean(m).alias(m) for m in MEASURES])
 
 
-@register("csv_sink_aggregate", with_(BASE, _F5_SQL))
+@register("csv_sink_aggregate", with_(BASE, DISTRICT_MEAN_SQL))
 def csv_sink_aggregate(spark, sf_dir):
     """The district mean table written as CSV (keys are columns, no index)
     and read back with its schema: doubles survive the text round trip."""
     path = landing.fresh(spark, "csv_aggregate")
-    df = _district_mean(spark, sf_dir)
+    df = district_mean_table(spark, sf_dir)
     sinks.csv_sink(df, path)
     return files.csv_typed(spark, path, df.schema)
 
