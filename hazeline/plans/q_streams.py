@@ -40,7 +40,8 @@ SELECT {_FLAT}, CAST(epoch(hr) AS BIGINT) - 32400 AS obs_epoch,
   CAST(epoch(hr) AS BIGINT) AS time_v FROM ev""")
 def snapshot_flatten(spark, sf_dir):
     """Nested documents to one flat row per poll."""
-    return snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir), FLAT_FIELDS)).drop("obs_ts")
+    flat = snap.flatten(files.snapshots(spark, snapshot_dir(spark, sf_dir), FLAT_FIELDS))
+    return flat.drop("obs_ts", "sync_ts")
 
 
 @register("forecast_unnest", f"""WITH {_EV},

@@ -1,7 +1,7 @@
 """Snapshot documents: flatten, unnest forecasts, keep the latest revision.
 
 The service re-sends the same hour with revised values, so the latest
-document per key is chosen by its ``debug.sync`` time with ``max_by``, never
+document per key is chosen by its ``debug.sync`` instant with ``max_by``, never
 by ``dropDuplicates`` (which keeps an arbitrary version). ``time.v`` is the
 local clock read as if it were UTC; the observation instant comes from
 ``time.iso``, which carries its offset.
@@ -17,6 +17,11 @@ from hazeline.schemas import FLAT_FIELDS, FORECAST_KEYS, IAQI_KEYS, snapshot_sch
 _OUT = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
 
 
+def _instant(c):
+    """ISO text with offset to an instant; malformed text gives NULL."""
+    return F.try_to_timestamp(c)
+
+
 def flatten(docs: DataFrame) -> DataFrame:
     """One flat row per document: station, observation time (instant from
     ``time.iso``, epoch seconds, and the local text), the raw ``time.v``,
@@ -31,6 +36,8 @@ def flatten(docs: DataFrame) -> DataFrame:
         F.col("data.aqi").alias("aqi"),
         F.col("data.dominentpol").alias("dominentpol"),
         F.col("data.debug.sync").alias("sync"),
+        # Revision order by instant, not by text: offsets may differ.
+        _instant(F.col("data.debug.sync")).alias("sync_ts"),
         *[F.col(f"data.iaqi.{k}.v").alias(k) for k in IAQI_KEYS])
 
 
@@ -46,11 +53,13 @@ def forecast_unnest(docs: DataFrame) -> DataFrame:
                     F.col("d.max").alias("max"))
 
 
-def latest(flat: DataFrame, keys: list[str], order_col: str = "sync",
+def latest(flat: DataFrame, keys: list[str], order_col: str = "sync_ts",
            cols: list[str] | None = None) -> DataFrame:
     """Latest row per key by ``order_col``: one ``max_by`` of a struct, so a
     key's revisions meet in one aggregate (partial per task, no sort)."""
     cols = cols or [c for c in _OUT if c in flat.columns]
+    if order_col == "sync_ts" and "sync_ts" not in flat.columns:
+        flat = flat.withColumn("sync_ts", _instant(F.col("sync")))
     g = flat.groupBy(*keys).agg(F.max_by(F.struct(*cols), order_col).alias("_l"))
     return g.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
@@ -81,7 +90,7 @@ def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
     flat = flatten(reader.json(source_dir))
     agg = (flat.withWatermark("obs_ts", watermark)
                .groupBy("idx", F.window("obs_ts", window).alias("w"))
-               .agg(F.max_by(F.struct(*_OUT), "sync").alias("_l")))
+               .agg(F.max_by(F.struct(*_OUT), "sync_ts").alias("_l")))
     out = agg.select("idx", F.unix_seconds(F.col("w.start")).alias("window_epoch"),
                      *[F.col(f"_l.{c}").alias(c) for c in _OUT])
 

@@ -25,11 +25,13 @@ def _flat(spark, rows):
 
 def test_daily_latest_idempotent(spark, tmp_path):
     path = str(tmp_path / "daily")
-    day1 = _flat(spark, [(1, "2024-08-25 00:00:00", "s1", 91), (1, "2024-08-25 00:00:00", "s2", 93),
-                         (1, "2024-08-26 05:00:00", "s3", 40)])
+    day1 = _flat(spark, [(1, "2024-08-25 00:00:00", "2024-08-25T00:10:00+09:00", 91),
+                         (1, "2024-08-25 00:00:00", "2024-08-25T00:40:00+09:00", 93),
+                         (1, "2024-08-26 05:00:00", "2024-08-26T05:10:00+09:00", 40)])
     snap.write_daily_latest(day1, path)
     # Re-run of 2024-08-25 only, with a later revision: that day is replaced,
     # 2024-08-26 stays.
-    snap.write_daily_latest(_flat(spark, [(1, "2024-08-25 03:00:00", "s9", 77)]), path)
+    snap.write_daily_latest(
+        _flat(spark, [(1, "2024-08-25 03:00:00", "2024-08-25T03:20:00+09:00", 77)]), path)
     got = {(str(r.date), r.idx): r.aqi for r in spark.read.parquet(path).collect()}
     assert got == {("2024-08-25", 1): 77, ("2024-08-26", 1): 40}

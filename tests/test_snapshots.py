@@ -88,3 +88,15 @@ def test_stream_restart_keeps_state(spark):
     snap.stream_latest(spark, src, f"{run}/out", f"{run}/ckpt")
     third = {r.idx: r.aqi for r in snap.read_stream_result(spark, f"{run}/out").collect()}
     assert third == {5508: 93}
+
+
+def test_latest_orders_by_instant_not_text(spark):
+    # 01:00+09:00 is 16:00 UTC the day before; 20:00+00:00 the same day is
+    # later in time although it sorts earlier as text.
+    d = tempfile.mkdtemp(prefix="hz-offset-")
+    now = time.time()
+    _write(d, "a.json", _doc(50, "2024-08-25T01:00:00+09:00", 1), now - 20)
+    _write(d, "b.json", _doc(60, "2024-08-24T20:00:00+00:00", 1), now - 10)
+    flat = snap.flatten(files.snapshots(spark, d))
+    out = snap.latest(flat, ["idx", "obs_epoch"]).collect()
+    assert len(out) == 1 and out[0].aqi == 60
