@@ -51,3 +51,17 @@ def test_boundaries_broadcast(spark):
     df = queries()["boundary_join"](spark, SF0001)
     df.collect()
     assert "BroadcastHashJoin" in _plan(df)
+
+
+def test_band_cutoffs_pushed_to_scan(spark):
+    import contextlib
+    import io
+    from __spark_entry__ import queries
+    df = queries()["outlier_band"](spark, SF0001)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")      # scan details in full (toString abbreviates them)
+    text = buf.getvalue()
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert pushed and "GreaterThanOrEqual(SO2," in pushed[0] and "LessThan(PM25," in pushed[0]
+    assert "Join" not in text and "Subquery" not in text
