@@ -38,3 +38,24 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     from hazeline.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), byte_bpe())
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    from hazeline.llm.language_id import predictions
+    return predictions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and offending offsets of every document."""
+    from hazeline.llm.toxicity import predictions
+    return predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold most of a benchmark item, with the item."""
+    from hazeline.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
