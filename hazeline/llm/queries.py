@@ -59,3 +59,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold most of a benchmark item, with the item."""
     from hazeline.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents."""
+    from hazeline.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
