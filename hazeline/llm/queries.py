@@ -87,3 +87,10 @@ def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of documents and their edited texts, with likenesses."""
     from hazeline.llm.spotsigs import edited_likeness
     return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document once repeated strings are removed."""
+    from hazeline.llm.substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
