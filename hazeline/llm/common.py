@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -34,10 +35,14 @@ def prepare(spark: SparkSession) -> None:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: lineage is cut and
-    the rows survive a lost executor."""
+    the rows survive a lost executor. Shuffles of finished steps are freed when
+    the driver collects the plans that own them, so that is done here rather
+    than at some later time."""
     path = scratch_path(df.sparkSession, "llm", f"{label}-{uuid.uuid4().hex}")
     path = shared(df.sparkSession, path)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,31 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.llm import bitmap as bitmaps
 from hazeline.llm.common import byte_view, materialize, mix64, prepare, slices
 from hazeline.llm.wordhash import ALPHANUMERIC, runs, words
 
 #: Bits of the seed bitmap: its size never depends on the data.
 BITMAP_BITS = 1 << 23
-_BUCKET = 32768  # bits of one value of bitmap_construct_agg
-
-
-def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """Bit h mod BITMAP_BITS set for every seed hash h, as one byte per bit of a
-    fixed size; built from at most BITMAP_BITS / 32768 partial bitmaps."""
-    bit = F.pmod("seed", F.lit(BITMAP_BITS))
-    parts = (seeds.select(bit.alias("bit"))
-             .groupBy(F.expr(f"bit div {_BUCKET}").alias("bucket"))
-             .agg(F.expr(f"bitmap_construct_agg(bit % {_BUCKET})").alias("bits")).collect())
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in parts:
-        at = r["bucket"] * _BUCKET // 8
-        out[at:at + _BUCKET // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
-
-
-def has_bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(BITMAP_BITS - 1)
-    return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
 def _item_words(benchmark: DataFrame, k: int) -> DataFrame:
@@ -137,7 +118,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 4,
     items = materialize(_item_words(benchmark, min_match), "items")
     seeds = items.select("item_id", F.size("words").alias("n_words"),
                          F.posexplode("seeds").alias("pos", "seed"))
-    bitmap = spark.sparkContext.broadcast(seed_bitmap(seeds))  # of a fixed size
+    bitmap = spark.sparkContext.broadcast(bitmaps.build(seeds, "seed", BITMAP_BITS))  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = bitmap.value
@@ -145,7 +126,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 4,
             for part in slices(batch, max_bytes=1 << 20):
                 hashes, counts = words(*byte_view(part.column("text")), ALPHANUMERIC)
                 grams, at = runs(hashes, counts, min_match)
-                hit = has_bit(own, grams)
+                hit = bitmaps.has(own, grams)
                 grams, at = grams[hit], at[hit]
                 ends = np.cumsum(counts)
                 owner = np.searchsorted(ends, at, side="right")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hazeline.llm.common import byte_view, materialize, mix64, prepare, slices
 from hazeline.llm.components import components
+from hazeline.llm.hubs import hub_pairs, unresolved
 from hazeline.llm.wordhash import NOT_SPACE, runs, words
 
 SHINGLE = 5
@@ -185,21 +186,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = materialize(same.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     nodes = (same.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id = rep")
              .select("doc_id", "n_shingles", "bands", "signature").dropDuplicates(["doc_id", "n_shingles"]))
-    buckets = nodes.select("doc_id", F.explode("bands").alias("key"))
+    buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     full = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = materialize(buckets.join(full, "key"), "buckets")
-    wanted = buckets.select("doc_id").distinct()
+    buckets = materialize(buckets.join(full, "key").withColumn("component", F.col("node")), "buckets")
+    wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
     nodes = materialize(nodes.join(wanted, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature"), "nodes")
     sets = materialize(sets_of(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
     links = found = None
     for turn in range(HUB_ROUNDS + 1):
-        if found is None:
-            left = buckets.withColumn("component", F.col("doc_id"))
-        else:
-            left = _unresolved(buckets, found)
+        left = buckets if found is None else unresolved(buckets, found)
         if left.isEmpty():
             break
-        pairs = _hub_pairs(left, turn) if turn < HUB_ROUNDS else _all_pairs(left)
+        pairs = hub_pairs(left, turn) if turn < HUB_ROUNDS else _all_pairs(left)
         new = materialize(_verified(pairs, nodes, sets, percent), "verified")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
@@ -216,29 +214,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _unresolved(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with theirs."""
-    placed = (buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-              .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = (placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-             .where("a <> b").select("key"))
-    return materialize(placed.join(mixed, "key"), "unresolved")
-
-
-def _hub_pairs(buckets: DataFrame, turn: int) -> DataFrame:
-    """Every member of a bucket with its hub: the least id at first, then one
-    chosen by a hash that differs from round to round."""
-    order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", "key", F.lit(turn))
-    first = F.min(F.struct(order.alias("o"), F.col("doc_id").alias("hub"), F.col("component").alias("of")))
-    hub = buckets.groupBy("key").agg(first.alias("h")).select("key", "h.hub", "h.of")
-    both = buckets.join(hub, "key").where("component <> of")
-    return both.select(F.least("doc_id", "hub").alias("u"), F.greatest("doc_id", "hub").alias("v")).distinct()
-
-
 def _all_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs of members from different components, dealt by key and block."""
-    left = buckets.select("key", F.col("doc_id").alias("u"), F.col("component").alias("cu"),
-                          F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)).alias("block"))
-    right = buckets.select("key", F.col("doc_id").alias("v"), F.col("component").alias("cv"),
+    left = buckets.select("key", F.col("node").alias("u"), F.col("component").alias("cu"),
+                          F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
+    right = buckets.select("key", F.col("node").alias("v"), F.col("component").alias("cv"),
                            F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
     return left.join(right, ["key", "block"]).where("u < v and cu <> cv").select("u", "v").distinct()
