@@ -38,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(edges.where("u <> v").distinct(), "links")
     state = _state(edges)
     while True:
-        edges = materialize(small_star(large_star(edges).distinct()).distinct(), "stars")
+        edges = materialize(small_star(large_star(edges)).distinct(), "stars")
         if state == (state := _state(edges)):
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -7,7 +7,7 @@ so only pairs from different components are left for a last, blocked round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm.common import materialize
@@ -23,11 +23,10 @@ def unresolved(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(placed.join(mixed, "key"), "unresolved")
 
 
-def hub_pairs(buckets: DataFrame, turn: int) -> DataFrame:
-    """u < v: every member with its bucket's hub, if their components differ.
-    The hub is the least node at first, then one chosen by a hash that differs
-    from round to round. Its choice is a grouped minimum, combined before the shuffle."""
-    order = F.col("node") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))
+def hub_pairs(buckets: DataFrame, order: Column) -> DataFrame:
+    """u < v: every member with its bucket's hub, the member first in ``order``
+    (then the least), if their components differ. The hub's choice is a grouped
+    minimum, combined before the shuffle."""
     first = F.min(F.struct(order.alias("o"), F.col("node").alias("hub"), F.col("component").alias("of")))
     hub = buckets.groupBy("key").agg(first.alias("h")).select("key", "h.hub", "h.of")
     both = buckets.join(hub, "key").where("component <> of")

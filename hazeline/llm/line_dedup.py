@@ -98,7 +98,8 @@ def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         left = buckets if found is None else unresolved(buckets, found)
         if left.isEmpty():
             break
-        pairs = hub_pairs(left, turn) if turn < HUB_ROUNDS else _rest(left, signed)
+        order = F.col("node") if turn == 0 else F.xxhash64("node", "key")
+        pairs = hub_pairs(left, order) if turn < HUB_ROUNDS else _rest(left, signed)
         new = materialize(_verified(pairs, texts, percent), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)

@@ -5,9 +5,9 @@ full shingle sets, and connected components.
 Documents of equal shingle sets are one class and only its least id goes on.
 Documents that share a band key form a bucket. Instead of all pairs of a bucket,
 each is compared with one hub; documents that end up in one component need no
-more comparisons. After a few such rounds, what is left in a bucket are pairs
-from different components, and all of these are checked, in blocks, so no
-link that joins components is lost.
+more comparisons. What is left in a bucket are pairs from different components.
+Those that their sizes and unshared shingles don't rule out are all checked, in
+blocks, so no link that joins components is lost.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ BANDS, ROWS = 24, 6
 #: Signature check: a pair goes if its share of equal minima is this far below
 #: the threshold (five standard deviations of the estimate at 0.85).
 SLACK = 0.16
-HUB_ROUNDS = 3
 #: Parts that a bucket's members are dealt to in the last, pairwise round.
 BLOCKS = 8
 
@@ -178,8 +177,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     several texts; a null doc_id is never linked, has a null component and is
     kept. No row in, no row out; other columns aren't read.
     """
-    spark = docs.sparkSession
-    prepare(spark)
+    prepare(docs.sparkSession)
     every = materialize(signed(docs), "signed")
     # One node for each distinct set: its least id. The minimum is combined before the shuffle.
     same = every.where("n_shingles > 0 and doc_id is not null")
@@ -187,23 +185,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     nodes = (same.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id = rep")
              .select("doc_id", "n_shingles", "bands", "signature").dropDuplicates(["doc_id", "n_shingles"]))
     buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
-    full = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    full = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialize(buckets.join(full, "key").withColumn("component", F.col("node")), "buckets")
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
     nodes = materialize(nodes.join(wanted, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature"), "nodes")
     sets = materialize(sets_of(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-    links = found = None
-    for turn in range(HUB_ROUNDS + 1):
-        left = buckets if found is None else unresolved(buckets, found)
-        if left.isEmpty():
-            break
-        pairs = hub_pairs(left, turn) if turn < HUB_ROUNDS else _all_pairs(left)
-        new = materialize(_verified(pairs, nodes, sets, percent), "verified")
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            found = materialize(components(links), "components")
-    if found is None:
-        found = spark.createDataFrame([], "node long, component long")
+    # First every member against its bucket's hub, the one with most company in
+    # all its buckets: of copies with changes of their own, that is the original.
+    company = buckets.groupBy("node").agg(F.sum("n").alias("company"))
+    first = hub_pairs(buckets.join(company, "node"), -F.col("company"))
+    links = materialize(_verified(first, nodes, sets, percent), "verified")
+    found = materialize(components(links), "components")
+    left = unresolved(buckets, found)
+    if not left.isEmpty():
+        more = materialize(_verified(_rest(left, nodes, sets, percent), nodes, sets, percent), "verified")
+        if not more.isEmpty():
+            found = materialize(components(links.union(more)), "components")
     # Equal sets are tied together by their class, whose own component is the representative's.
     ties = every.where("doc_id is not null").join(classes, ["set_a", "set_b", "n_shingles"], "left")
     root = F.coalesce("component", "rep", "doc_id")
@@ -214,10 +211,37 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _all_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs of members from different components, dealt by key and block."""
-    left = buckets.select("key", F.col("node").alias("u"), F.col("component").alias("cu"),
-                          F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
-    right = buckets.select("key", F.col("node").alias("v"), F.col("component").alias("cv"),
-                           F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
-    return left.join(right, ["key", "block"]).where("u < v and cu <> cv").select("u", "v").distinct()
+def _rest(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket from different components that can be similar, dealt
+    by bucket and block.
+
+    A shingle that no other member of any open bucket has can't be common to a
+    pair, which bounds what a member can share. Members that this rules out for
+    every size in their bucket go before pairs are made; no link is lost.
+    """
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch.column("doc_id").to_pylist(), batch.column("shingles"), strict=True):
+                values = np.frombuffer(raw.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "shingle"])
+
+    open_ = sets.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    alone = (open_.mapInArrow(unpacked, "node long, shingle long").groupBy("shingle")
+             .agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+             .groupBy("node").agg(F.count("*").alias("alone")))
+    size = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"))
+    members = (buckets.select("key", "node", "component").join(size, "node").join(alone, "node", "left")
+               .withColumn("most", F.col("size") - F.coalesce("alone", F.lit(0))))
+    least = members.groupBy("key").agg(F.min("size").alias("least"))
+    able = members.join(least, "key").where(100 * F.col("most") >= percent * (F.col("size") + F.greatest("least", "most") - F.col("most")))
+    able = materialize(able.drop("least", "alone"), "able")
+    mixed = (able.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+             .where("a <> b").select("key"))
+    able = able.join(mixed, "key")
+    left = able.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("size").alias("nu"),
+                       F.col("most").alias("mu"), F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
+    right = able.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("nv"),
+                        F.col("most").alias("mv"), F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
+    fits = f"u < v and cu <> cv and 100 * least(mu, mv) >= {percent} * (nu + nv - least(mu, mv))"
+    same = (left["key"] == right["key"]) & (left["block"] == right["block"])
+    return left.join(right, same & F.expr(fits)).select("u", "v").distinct()
