@@ -123,8 +123,10 @@ class ToxicModel:
         toxic_word = np.array([any(f in marked for f in fs) for fs in of_word], bool)
         used = sorted(f for f in seen[0].keys() | seen[1].keys() if seen[0][f] + seen[1][f] >= 2)
         place = {f: i for i, f in enumerate(used)}
-        pairs = [(i, place[f]) for i, fs in enumerate(of_word) for f in fs if f in place]
-        row, col = np.array(pairs, np.int64).reshape(-1, 2).T
+        own = [[place[f] for f in fs if f in place] for fs in of_word]
+        row = np.repeat(np.arange(len(words)), [len(x) for x in own])
+        col = np.fromiter(chain.from_iterable(own), np.int64, len(row))
+        del own, of_word
         token = np.array([index[w] for w in chain.from_iterable(docs)], np.int64)
         lengths = np.array([len(d) for d in docs], np.int64)
         target = (toxic_word[token] & np.repeat(labels == 1, lengths)).astype(float) if len(token) else np.zeros(0)
@@ -227,7 +229,7 @@ class ToxicModel:
         return scores, spans
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, max_chars: int = 8000) -> ToxicModel | None:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_chars: int = 6000) -> ToxicModel | None:
     """Fits on a bounded sample: at most ``per_label`` rows of each value of
     ``labels.toxic`` (nulls don't count) with texts of at most ``max_chars``.
     None unless both values are there."""
@@ -264,7 +266,7 @@ def score(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
     return docs.mapInArrow(run, f"{kept}, score double, predicted int, spans {span}")
 
 
-def predictions(docs: DataFrame, labels: DataFrame, per_label: int = 2000) -> DataFrame:
+def predictions(docs: DataFrame, labels: DataFrame, per_label: int = 1500) -> DataFrame:
     """doc_id, held_out, score, predicted, spans of every document; the model
     learns from labelled documents that aren't held out."""
     model = fit(docs, labels.where(~held_out()), per_label)
