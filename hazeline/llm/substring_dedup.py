@@ -113,21 +113,22 @@ def _shared(classes: DataFrame) -> DataFrame:
     return classes.join(sizes, "key").select("key", "whole", "first.*", "classes")
 
 
-def _halves(rows: DataFrame, window: int, low: int, high: int) -> list[tuple[DataFrame, int, int]]:
-    """Splits stretches whose anchors lie ``low`` to ``high`` bytes behind a
+def _halves(rows: DataFrame, window: int) -> DataFrame:
+    """Splits stretches whose anchors may lie ``low`` to ``high`` bytes behind a
     window's start at the middle distance. The new key adds the bytes that all
-    windows of a half share."""
-    middle, out = (low + high) // 2, []
-    for lo, hi in ((low, middle), (middle + 1, high)):
-        most, least = F.least("lead", F.lit(hi)), F.greatest(F.col("lead") - F.col("n") + 1, F.lit(lo))
-        part = (rows.withColumn("most", most).withColumn("left", F.col("most") - least + 1).where("left > 0")
-                .withColumn("skip", F.col("lead") - F.col("most")))
-        cut = part.withColumn("bytes", F.expr(f"substring(bytes, skip + 1, left + {window - 1})"))
-        core = F.expr(f"substring(bytes, most - {lo} + 1, {window - (hi - lo)})")
-        out.append((cut.select(F.xxhash64("key", F.lit(lo), core).alias("key"), F.xxhash64("bytes", "left").alias("whole"),
-                               "doc_id", "doc_key", (F.col("start") + F.col("skip")).alias("start"),
-                               F.col("left").alias("n"), F.col("most").alias("lead"), "bytes"), lo, hi))
-    return out
+    windows of a half share: the smaller the range, the more they are, and all
+    of a window's when its ends meet."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    halves = F.array(F.struct("low", middle.alias("high")), F.struct((middle + 1).alias("low"), "high"))
+    part = rows.where("low < high").withColumn("half", F.explode(halves)).withColumns({"low": F.col("half.low"), "high": F.col("half.high")})
+    part = (part.withColumn("most", F.least("lead", "high"))
+            .withColumn("left", F.col("most") - F.greatest(F.col("lead") - F.col("n") + 1, F.col("low")) + 1).where("left > 0")
+            .withColumn("skip", F.col("lead") - F.col("most"))
+            .withColumn("bytes", F.expr(f"substring(bytes, skip + 1, left + {window - 1})")))
+    core = F.expr(f"substring(bytes, most - low + 1, {window} - (high - low))")
+    return part.select(F.xxhash64("key", "low", core).alias("key"), F.xxhash64("bytes", "left").alias("whole"), "doc_id", "doc_key",
+                       (F.col("start") + F.col("skip")).alias("start"), F.col("left").alias("n"), F.col("most").alias("lead"),
+                       "bytes", "low", "high")
 
 
 def array_repeats(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
@@ -205,36 +206,31 @@ def repeated_windows(docs: DataFrame, window: int = 100) -> DataFrame:
     repeated = spark.sparkContext.broadcast(_repeated_anchors(docs, window))  # of a fixed size
     rows = materialize(_stretches(docs, window, repeated), "stretches")
     classes = materialize(_classes(rows), "classes")
-    out = [_repeats(rows, classes)]
+    out = [materialize(_repeats(rows, classes), "repeats")]
     first = materialize(_shared(classes), "shared")
     place = F.col("doc_key").bitwiseXOR(F.col("start").cast("long")).alias("place")  # as _place
     wanted = spark.sparkContext.broadcast(bitmap.build(first.select(place), "place", BITMAP_BITS))
     found = _stretches(docs, window, repeated, wanted).select("doc_key", "start", "bytes")
     found = found.dropDuplicates(["doc_key", "start"])
     full = materialize(first.join(found, ["doc_key", "start"]), "contexts")
-    low, high = 0, window - GRAM
-    level = [(full, low, high)]
+    level = full.withColumns({"low": F.lit(0), "high": F.lit(window - GRAM)})
     arrays = []
-    while level:
-        following = []
-        for part, lo, hi in level:
-            arrays.append(part.where(F.col("classes") <= GROUP_CLASSES))
-            large = part.where(F.col("classes") > GROUP_CLASSES)
-            if lo == hi or large.isEmpty():
-                continue
-            for half, a, b in _halves(large, window, lo, hi):
-                half = materialize(half, "half")
-                own = _classes(half)
-                out.append(_repeats(half, own))
-                again = _shared(own).join(half.select("doc_key", "start", "bytes"), ["doc_key", "start"])
-                following.append((materialize(again, "shared"), a, b))
-        level = following
-    both = arrays[0].select("key", "doc_id", "doc_key", "start", "n", "bytes")
+    while True:
+        arrays.append(level.where(F.col("classes") <= GROUP_CLASSES).select("key", "doc_id", "doc_key", "start", "n", "bytes"))
+        large = level.where(F.col("classes") > GROUP_CLASSES)
+        if large.isEmpty():
+            break
+        # Where the ends of a range have met, a key is one string and one class.
+        halves = materialize(_halves(large, window), "halves")
+        own = _classes(halves)
+        out.append(materialize(_repeats(halves, own), "repeats"))
+        bytes_of = halves.select("doc_key", "start", "bytes", "low", "high")
+        level = materialize(_shared(own).join(bytes_of, ["doc_key", "start"]), "shared")
+    found = arrays[0]
     for a in arrays[1:]:
-        both = both.union(a.select("key", "doc_id", "doc_key", "start", "n", "bytes"))
-    out.append(_by_array(both, window))
-    every = out[0]
-    for o in out[1:]:
+        found = found.union(a)
+    every = _by_array(found, window)
+    for o in out:
         every = every.union(o)
     return every
 
