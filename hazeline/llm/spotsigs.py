@@ -35,24 +35,26 @@ def common_words(docs: DataFrame, n: int = 40) -> list[str]:
     return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(n).collect()]
 
 
-def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
-    """Sorted distinct hashes (array<int>) of a text's spot signatures; a text
-    that has words but no anchor has the hash of all its words as the only one;
-    null, or without words: empty."""
+def with_signatures(df: DataFrame, text: str, out: str, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """Adds the sorted distinct hashes (array<int>) of a text column's spot
+    signatures; a text that has words but no anchor has the hash of all its
+    words as the only one; null, or without words: empty. The words are a column
+    of their own first, so that they aren't split again for every word."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     # Anchors are tied to the word that follows: "the man of the sea" is "the+man of+the+sea".
-    tied = F.regexp_replace(plain, rf"(?<= )({'|'.join(anchors)}) ", "$1+")
-    items = F.split(F.btrim(tied), " ")
+    tied = F.regexp_replace("_plain", rf"(?<= )({'|'.join(anchors)}) ", "$1+")
+    none = F.expr("cast(array() as array<int>)")
 
-    def spots(item: Column, i: Column, all_items: Column) -> Column:
-        content = [F.coalesce(F.substring_index(F.get(all_items, i + k), "+", -1), F.lit("")) for k in range(chain)]
+    def spots(item: Column, i: Column) -> Column:
+        content = [F.coalesce(F.substring_index(F.get("_items", i + k), "+", -1), F.lit("")) for k in range(chain)]
         return F.transform(F.slice(F.split(item, r"\+"), 1, F.size(F.split(item, r"\+")) - 1),
                            lambda anchor: F.hash(anchor, *content))
 
-    none = F.expr("cast(array() as array<int>)")
-    found = F.flatten(F.transform(items, lambda item, i: F.when(F.contains(item, F.lit("+")), spots(item, i, items)).otherwise(none)))
-    whole = F.when(F.btrim(plain) == "", none).otherwise(F.array(F.hash(F.btrim(plain))))
-    return F.array_sort(F.array_distinct(F.when(F.contains(tied, F.lit("+")), found).otherwise(whole)))
+    found = F.flatten(F.transform("_items", lambda item, i: F.when(F.contains(item, F.lit("+")), spots(item, i)).otherwise(none)))
+    whole = F.when(F.btrim("_plain") == "", none).otherwise(F.array(F.hash(F.btrim("_plain"))))
+    df = df.withColumn("_plain", plain).withColumn("_items", F.split(F.btrim(tied), " "))
+    df = df.withColumn("_found", F.array_sort(F.array_distinct(found)))
+    return df.withColumn(out, F.when(F.size("_found") > 0, F.col("_found")).otherwise(whole)).drop("_plain", "_items", "_found")
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -78,7 +80,7 @@ def edited_likeness(docs: DataFrame, anchors: tuple[str, ...] = ANCHORS) -> Data
     null doc_id has no next document, as if that were empty.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = own.withColumn("sigs", signatures(F.col("text"), anchors)).withColumn("n_chars", F.length("text").cast("long"))
+    own = with_signatures(own, "text", "sigs", anchors).withColumn("n_chars", F.length("text").cast("long"))
     first = Window.partitionBy("next_id").orderBy("next_text")
     following = (own.where("doc_id is not null")
                  .select(F.col("doc_id").cast("long").alias("next_id"), F.col("text").alias("next_text"), F.col("sigs").alias("next_sigs"))
@@ -88,9 +90,9 @@ def edited_likeness(docs: DataFrame, anchors: tuple[str, ...] = ANCHORS) -> Data
     joined = (own.join(next_lower(docs).withColumnRenamed("id", "doc_id"), "doc_id", "left")
               .join(following, "next_id", "left"))
     edited = F.concat("head", F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
-    out = joined.withColumn("edited", edited)
-    out = out.select("doc_id", "n_chars", "sigs", F.coalesce("next_sigs", F.expr("cast(array() as array<int>)")).alias("next_sigs"),
-                     F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("edited"), anchors).alias("edited_sigs"))
+    none = F.expr("cast(array() as array<int>)")
+    out = joined.select("doc_id", "n_chars", "sigs", F.coalesce("next_sigs", none).alias("next_sigs"), edited.alias("edited"))
+    out = with_signatures(out, "edited", "edited_sigs", anchors).withColumn("edited_sha256", F.sha2("edited", 256))
     return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sigs")).alias("fingerprint"),
                       fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
                       likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
@@ -109,7 +111,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, anchors: tuple[str,
     Texts without words are classes of their own and in no pair; rows with a
     null doc_id are left out.
     """
-    sets = materialize(docs.where("doc_id is not null").select("doc_id", signatures(F.col("text"), anchors).alias("sigs")), "spots")
+    sets = with_signatures(docs.where("doc_id is not null").select("doc_id", "text"), "text", "sigs", anchors)
+    sets = materialize(sets.drop("text"), "spots")
     filled = sets.where(F.size("sigs") > 0)
     classes = materialize(filled.groupBy("sigs").agg(F.min("doc_id").alias("class_id")), "spot-classes")
     members = (filled.join(classes, "sigs").select("doc_id", "class_id")

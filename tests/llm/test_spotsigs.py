@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from hazeline.llm.ring import next_lower
-from hazeline.llm.spotsigs import ANCHORS, common_words, edited_likeness, near_duplicates, signatures
+from hazeline.llm.spotsigs import ANCHORS, common_words, edited_likeness, near_duplicates, with_signatures
 
 
 def plain_spots(text):
@@ -88,5 +88,5 @@ def test_near_duplicates_against_all_pairs(spark):
 def test_common_words_and_empty_sets(spark):
     docs = spark.createDataFrame([("The cat",), ("the dog the",), (None,), ("",)], "text string")
     assert common_words(docs, 2) == ["the", "cat"]
-    sizes = [r[0] for r in docs.select(F.size(signatures(F.col("text")))).collect()]
+    sizes = [r[0] for r in with_signatures(docs, "text", "s").select(F.size("s")).collect()]
     assert sizes == [1, 2, 0, 0]
