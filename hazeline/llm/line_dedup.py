@@ -56,12 +56,16 @@ def _lines(keyed: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar."""
-    both = (pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v")
-            .select("u", "v", shingles(F.col("line_u")).alias("a"), shingles(F.col("line_v")).alias("b")))
-    fits = 100 * F.least(F.size("a"), F.size("b")) >= percent * F.greatest(F.size("a"), F.size("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return both.where(fits).where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v")
+    """Pairs whose full shingle sets are similar. Both sets are bound once, in a
+    lambda, for the sizes and the intersection."""
+    def similar(s: Column) -> Column:
+        a, b = F.size(s["a"]), F.size(s["b"])
+        common = F.size(F.array_intersect(s["a"], s["b"]))
+        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * common >= percent * (a + b))
+
+    both = pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v")
+    sets = F.array(F.struct(shingles(F.col("line_u")).alias("a"), shingles(F.col("line_v")).alias("b")))
+    return both.where(F.exists(sets, similar)).select("u", "v")
 
 
 def _rest(buckets: DataFrame, signed: DataFrame) -> DataFrame:
@@ -124,11 +128,10 @@ def drop_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     read; others pass through, n_lines and n_removed are replaced."""
     docs = docs.drop("n_lines", "n_removed")
     gone = line_groups(docs, percent).groupBy("doc_key").agg(F.collect_set("pos").alias("gone"))
-    joined = _keyed(docs).join(gone, F.col("_key") == F.col("doc_key"), "left")
-    split = F.split("text", "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone")
-    kept = F.array_join(F.transform(places, lambda i: F.get(split, i)), "\n")
+    joined = _keyed(docs).join(gone, F.col("_key") == F.col("doc_key"), "left").withColumn("_lines", F.split("text", "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
+    kept = F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text")
-    lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split)).alias("n_lines")
+    lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("_lines")).alias("n_lines")
     return joined.select(*(text if c == "text" else c for c in docs.columns), lines,
                          F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).alias("n_removed"))
