@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 
 from hazeline.plans.catalog import register
 from hazeline.schemas import FLAT_FIELDS, FORECAST_FIELDS, IAQI_KEYS
-from hazeline.sources import adapter, files, landing
+from hazeline.sources import adapter, files, fs, landing
+from hazeline.sources.tables import table_path
 from hazeline.streaming import snapshots as snap
 
 
+#: Bytes of JSON documents for a byte of the compressed events, as measured.
+JSON_GROWTH = 82
+
+
 def snapshot_dir(spark, sf_dir, force: bool = False) -> str:
     def build(p):
         # One file per date (and salt, at scale): the shuffle spreads the
         # document building over tasks whatever the input's file layout.
         docs = adapter.snapshot_documents(spark, sf_dir)
-        salts = landing.salts_for(adapter.table(spark, sf_dir, "events"))
+        days = docs.select("date").distinct().count()
+        salts = landing.salts_for(JSON_GROWTH * fs.size(spark, table_path(sf_dir, "events")), days)
         (docs.repartition(F.col("date"), F.pmod(F.xxhash64("data.idx"), F.lit(salts)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("date").json(p))
+             .write.partitionBy("date").json(p))
     return landing.derived(spark, sf_dir, "snapshots_json", build, force)
 
 
@@ -85,8 +90,7 @@ SELECT CAST(user_id AS INTEGER) AS idx, CAST(epoch(hr) AS BIGINT) - 32400 AS win
   {_argmax(_ARG)} FROM ev GROUP BY 1, 2""")
 def stream_snapshot_latest(spark, sf_dir):
     """The snapshot folder as a file stream: latest revision per (station,
-    hour) by sync time, kept in state under a watermark, update mode into a
-    per-batch parquet sink; the result is the final state of every key."""
+    hour) by sync time, each micro-batch merged into a table by date."""
     run = landing.fresh(spark, "stream_latest")
     snap.stream_latest(spark, snapshot_dir(spark, sf_dir), f"{run}/out", f"{run}/checkpoint")
     return snap.read_stream_result(spark, f"{run}/out")

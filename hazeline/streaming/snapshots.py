@@ -9,10 +9,15 @@ local clock read as if it were UTC; the observation instant comes from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.operators.joins import sized_broadcast
 from hazeline.schemas import FLAT_FIELDS, FORECAST_KEYS, IAQI_KEYS, snapshot_schema
+from hazeline.session import scratch_path
 
 _OUT = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
 
@@ -26,7 +31,7 @@ def flatten(docs: DataFrame) -> DataFrame:
     """One flat row per document: station, observation time (instant from
     ``time.iso``, epoch seconds, and the local text), the raw ``time.v``,
     AQI, dominant pollutant, revision time and the 11 ``iaqi`` values."""
-    obs = F.to_timestamp("data.time.iso")
+    obs = _instant(F.col("data.time.iso"))
     return docs.select(
         F.col("data.idx").alias("idx"),
         F.col("data.time.s").alias("obs_local"),
@@ -53,62 +58,90 @@ def forecast_unnest(docs: DataFrame) -> DataFrame:
                     F.col("d.max").alias("max"))
 
 
-def latest(flat: DataFrame, keys: list[str], order_col: str = "sync_ts",
-           cols: list[str] | None = None) -> DataFrame:
-    """Latest row per key by ``order_col``: one ``max_by`` of a struct, so a
-    key's revisions meet in one aggregate (partial per task, no sort)."""
+def _revision(flat: DataFrame) -> Column:
+    """Order of revisions: the sync instant, else the observation time, then the
+    text and the values themselves, so that one of several always wins, the
+    same one in any order of arrival. Never null."""
+    sync = F.col("sync_ts") if "sync_ts" in flat.columns else _instant(F.col("sync"))
+    seen = F.col("obs_ts") if "obs_ts" in flat.columns else F.try_to_timestamp(F.col("obs_local"))
+    cols = [c for c in _OUT if c in flat.columns]
+    return F.struct(F.coalesce(sync, seen).alias("at"), F.col("sync"), F.xxhash64(*cols).alias("tie"))
+
+
+def latest(flat: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:
+    """Latest row per key by revision: one ``max_by`` of a struct, so a key's
+    revisions meet in one aggregate (partial per task, no sort)."""
     cols = cols or [c for c in _OUT if c in flat.columns]
-    if order_col == "sync_ts" and "sync_ts" not in flat.columns:
-        flat = flat.withColumn("sync_ts", _instant(F.col("sync")))
-    g = flat.groupBy(*keys).agg(F.max_by(F.struct(*cols), order_col).alias("_l"))
+    g = flat.groupBy(*keys).agg(F.max_by(F.struct(*cols), _revision(flat)).alias("_l"))
     return g.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
+def rejects(flat: DataFrame) -> DataFrame:
+    """How many flat rows have no readable observation time, and no readable
+    sync time; the former have no hour and the latter no place of their own in
+    the order of revisions."""
+    return flat.agg(F.count("*").alias("rows"), F.count_if(F.col("obs_ts").isNull()).alias("no_time"),
+                    F.count_if(F.col("sync_ts").isNull()).alias("no_sync"))
+
+
+def merge_latest(rows: DataFrame, path: str, keys: list[str], date: str = "date") -> None:
+    """Merges rows into a table of the latest revision per key, one folder per
+    ``date`` (one of the keys): the dates that occur are read, merged and
+    written again, others stay. A key that isn't in ``rows`` keeps its row and
+    an older revision never replaces a newer one, so the result doesn't depend
+    on the order or repetition of merges. The merged dates are written to the
+    shared scratch folder first: a table can't be read while it is replaced."""
+    spark = rows.sparkSession
+    rows = latest(rows, keys)
+    try:
+        known = spark.read.parquet(path).select(*(F.col(f.name).cast(f.dataType) for f in rows.schema.fields))
+    except AnalysisException:
+        known = None  # nothing there yet
+    if known is not None:
+        dates = rows.select(date).distinct()
+        rows = latest(rows.unionByName(known.join(sized_broadcast(dates), date, "left_semi")), keys)
+    staged = scratch_path(spark, "merges", uuid.uuid4().hex)
+    rows.hint("rebalance", date).write.parquet(staged)
+    (spark.read.schema(rows.schema).parquet(staged).hint("rebalance", date).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path))
+
+
 def write_daily_latest(flat: DataFrame, path: str) -> None:
-    """The last revision per (station, local date), one folder per date.
-    Dynamic partition overwrite replaces only the dates present in this
-    batch, so re-running a day is idempotent and other days are kept."""
-    daily = latest(flat.withColumn("date", F.substring("obs_local", 1, 10)), ["date", "idx"])
-    (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("date").parquet(path))
+    """The last revision per (station, local date), one folder per date, merged
+    with what is there."""
+    merge_latest(flat.withColumn("date", F.substring("obs_local", 1, 10)), path, ["date", "idx"])
 
 
 def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
-                  watermark: str = "1 day", window: str = "1 hour",
-                  max_files_per_trigger: int | None = None,
+                  window_seconds: int = 3600, max_files_per_trigger: int | None = None,
                   processing_time: str | None = None):
-    """Structured Streaming job: snapshot files arrive in ``source_dir``; the
-    latest revision per (station, hour) is kept in state (one row per key
-    within the watermark) and each micro-batch's updated keys are written to
-    ``out_dir/batch_id=<n>`` (overwrite per batch, so a retried batch is
-    idempotent). By default it runs until the files present now are
-    processed; with ``processing_time`` (e.g. "1 minute") it keeps running
-    and the started query is returned."""
+    """Structured Streaming job: snapshot files arrive in ``source_dir``; each
+    micro-batch is reduced to its latest revision per (station, window) and
+    merged into the table at ``out_dir``. The table is the state: nothing is
+    dropped for being late, whatever the order of files and the size of
+    batches, a retried batch changes nothing, and memory holds one batch.
+    Documents without a readable observation time have no window and are left
+    out (:func:`rejects` counts them). By default it runs until the files
+    present now are processed; with ``processing_time`` (e.g. "1 minute") it
+    keeps running and the started query is returned."""
     reader = spark.readStream.schema(snapshot_schema(FLAT_FIELDS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    flat = flatten(reader.json(source_dir))
-    agg = (flat.withWatermark("obs_ts", watermark)
-               .groupBy("idx", F.window("obs_ts", window).alias("w"))
-               .agg(F.max_by(F.struct(*_OUT), "sync_ts").alias("_l")))
-    out = agg.select("idx", F.unix_seconds(F.col("w.start")).alias("window_epoch"),
-                     *[F.col(f"_l.{c}").alias(c) for c in _OUT])
+    flat = flatten(reader.json(source_dir)).where(F.col("obs_ts").isNotNull())
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        start = F.col("obs_epoch") - F.pmod("obs_epoch", F.lit(window_seconds))
+        rows = batch.withColumn("window_epoch", start)
+        rows = rows.withColumn("date", F.date_format(F.timestamp_seconds("window_epoch"), "yyyy-MM-dd"))
+        merge_latest(rows, out_dir, ["date", "idx", "window_epoch"])
 
-    w = (out.writeStream.outputMode("update").foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint_dir))
+    w = flat.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     if processing_time:
         return w.trigger(processingTime=processing_time).start()
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
+    w.trigger(availableNow=True).start().awaitTermination()
     return None
 
 
 def read_stream_result(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Final state of every key: its row from the newest micro-batch."""
-    upd = spark.read.parquet(out_dir)
-    g = upd.groupBy("idx", "window_epoch").agg(
-        F.max_by(F.struct(*_OUT), "batch_id").alias("_l"))
-    return g.select("idx", "window_epoch", *[F.col(f"_l.{c}").alias(c) for c in _OUT])
+    """The latest revision of every (station, window)."""
+    return spark.read.parquet(out_dir).select("idx", "window_epoch", *_OUT)
