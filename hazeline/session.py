@@ -66,8 +66,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and stream checkpoints.
 
-    Read from ``spark.checkpoint.dir``; only when the session names none is a
-    private folder created and registered (local tests).
+    Read from ``spark.checkpoint.dir``, scheme and all. A private folder is made
+    only for a ``local`` master that names none (tests); a cluster without one
+    is an error, as its executors would each write to a disk of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -76,14 +77,12 @@ def scratch_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - connect sessions have no context
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="hazeline-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # noqa: BLE001 - connect sessions have no context
-            pass
         spark.conf.set("spark.checkpoint.dir", d)
-    if d.startswith("file:"):
-        d = d[len("file:"):]
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

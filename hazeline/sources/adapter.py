@@ -54,11 +54,12 @@ def _hit(key, rule):
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per station with its address parts (dimension only)."""
+    from hazeline.operators.joins import sized_broadcast
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-             .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey)
+             .join(sized_broadcast(r), n.n_regionkey == r.r_regionkey)
              .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "n_name", "r_name"))
 
 

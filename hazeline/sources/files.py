@@ -61,8 +61,8 @@ def snapshots(spark: SparkSession, path: str, fields=None) -> DataFrame:
 
 
 def geojson_features(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON FeatureCollection (pretty-printed, so ``multiLine``) to one
-    row per feature: (SIG_ENG_NM, geometry). Coordinates declared STRING
+    """GeoJSON FeatureCollection documents (a file, or a folder with one a file;
+    pretty-printed, so ``multiLine``) to one row per feature: (SIG_ENG_NM, geometry). Coordinates declared STRING
     arrive as raw JSON text and are carried as an opaque payload."""
     fc = spark.read.schema(GEOJSON).option("multiLine", "true").json(path)
     f = fc.select(F.explode("features").alias("f"))
@@ -70,26 +70,25 @@ def geojson_features(spark: SparkSession, path: str) -> DataFrame:
                     F.col("f.geometry").alias("geometry"))
 
 
-# A FeatureCollection is one JSON value, built in one task: the writer takes
-# boundary sets up to this many features (the districts of a city are tens).
-MAX_GEOJSON_FEATURES = 100_000
+#: Features of one document: what one task builds and one task parses.
+FEATURES_PER_DOCUMENT = 10_000
 
 
 def write_geojson(boundaries: DataFrame, path: str,
-                  max_features: int = MAX_GEOJSON_FEATURES) -> None:
-    """One pretty-printed FeatureCollection document. The whole collection
-    is one JSON value, so it is built in one task; the feature count is
-    checked first and a larger set is refused rather than truncated."""
-    n = boundaries.count()
-    if n > max_features:
-        raise ValueError(f"{n} features exceed the single-document bound {max_features}")
-    feats = boundaries.select(F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct("SIG_ENG_NM").alias("properties"),
-        F.struct(F.col("geometry.type").alias("type"),
-                 F.parse_json(F.col("geometry.coordinates")).alias("coordinates")).alias("geometry")
-    ).alias("f"))
-    doc = feats.agg(F.to_json(F.struct(
-        F.lit("FeatureCollection").alias("type"),
-        F.collect_list("f").alias("features")), {"pretty": "true"}).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
+                  per_document: int = FEATURES_PER_DOCUMENT) -> None:
+    """A folder of pretty-printed FeatureCollection documents, one a file, of
+    about ``per_document`` features each. A document is one JSON value and so is
+    built in one task; any number of features takes as many documents. A small
+    set is one document; an empty one is a document without features."""
+    rows = boundaries.select("SIG_ENG_NM", "geometry")
+    documents = max(1, -(-rows.count() // per_document))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct("SIG_ENG_NM").alias("properties"),
+                       F.struct(F.col("geometry.type").alias("type"),
+                                F.parse_json(F.col("geometry.coordinates")).alias("coordinates")).alias("geometry"))
+    number = F.pmod(F.xxhash64("SIG_ENG_NM", "geometry.type", "geometry.coordinates"), F.lit(documents))
+    features = F.coalesce(F.collect_list("f"), F.array())
+    body = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), features.alias("features")), {"pretty": "true"})
+    dealt = rows.select(number.alias("n"), feature.alias("f"))
+    dealt = dealt.groupBy("n") if documents > 1 else dealt.groupBy()
+    (dealt.agg(body.alias("value")).select("value").write.mode("overwrite")
+     .option("maxRecordsPerFile", 1).text(path))

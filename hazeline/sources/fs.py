@@ -45,3 +45,37 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
         parts.append(f"{path}:{cs.getLength()}:{cs.getFileCount()}:{cs.getDirectoryCount()}:"
                      f"{st.getModificationTime()}")
     return "|".join(parts)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path."""
+    fs, p = _fs_path(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def publish(spark: SparkSession, marker: str, text: str, replace: bool = False) -> None:
+    """Writes a small marker file. Without ``replace`` an existing one stays: of
+    several writers the first wins, and all read its text afterwards."""
+    fs, p = _fs_path(spark, marker)
+    if not replace and fs.exists(p):
+        return
+    try:
+        out = fs.create(p, replace)
+    except Exception:  # noqa: BLE001 - another writer came first
+        if replace or not fs.exists(p):
+            raise
+        return
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_marker(spark: SparkSession, marker: str) -> str | None:
+    """Text of a marker; None if there is none (or it is still being written)."""
+    fs, p = _fs_path(spark, marker)
+    if not fs.exists(p) or not fs.getFileStatus(p).getLen():
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -6,7 +6,8 @@ silver inside the outlier band (the reference's cleaning task writes its
 cleaned output once and the map and correlation tasks read it). All are
 written tables: they cut lineage, so a lost executor costs a task retry and
 not a recomputation of the joins. A landing is keyed by the input files
-(path, length, modification time) and reused while they are unchanged.
+(path, length, modification time) and reused while they are unchanged; only
+the layers that are asked for are landed.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import hashlib
 import math
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +28,9 @@ from hazeline.session import scratch_path
 from hazeline.sources import adapter, fs
 from hazeline.sources.tables import table_path
 
-LANDING_VERSION = "r1"
-_INPUTS = ["lineitem", "orders", "part", "supplier", "nation", "region", "events"]
+LANDING_VERSION = "r2"
+_READINGS = ["lineitem", "orders", "part", "supplier", "nation", "region"]
+_INPUTS = [*_READINGS, "events"]
 
 
 def _code_version() -> str:
@@ -44,89 +47,91 @@ def _code_version() -> str:
 
 _SHAPING_MODULES = ["sources/adapter.py", "sources/files.py", "plans/readings.py",
                     "functions/safe.py", "functions/dates.py", "functions/address.py",
-                    "operators/filters.py", "operators/quantiles.py", "schemas.py"]
+                    "operators/filters.py", "operators/quantiles.py", "operators/aggregates.py",
+                    "streaming/snapshots.py", "pipelines.py", "schemas.py"]
 
 
-def _key(spark: SparkSession, sf_dir: str) -> str:
-    fp = fs.fingerprint(spark, [table_path(sf_dir, t) for t in _INPUTS])
+def _key(spark: SparkSession, sf_dir: str, inputs: list[str]) -> str:
+    fp = fs.fingerprint(spark, [table_path(sf_dir, t) for t in inputs])
     return hashlib.sha1(f"{_code_version()}|{sf_dir}|{fp}".encode()).hexdigest()[:16]
 
 
-def landing_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
-    base = scratch_path(spark, "landing", _key(spark, sf_dir))
-    return f"{base}/bronze", f"{base}/silver", f"{base}/gold"
-
-
-# One writer at a time per process: queries called from several threads
-# must not land the same folder twice at once.
+# One writer at a time per process; between processes the marker decides.
 _LOCK = threading.RLock()
 
 
-def land(spark: SparkSession, sf_dir: str, force: bool = False,
-         with_gold: bool = True) -> tuple[str, str, str]:
+def _once(spark: SparkSession, sf_dir: str, name: str, build, force: bool, inputs: list[str]) -> str:
+    """Folder of a table that ``build(path)`` writes. Each writer has a folder of
+    its own and publishes it by a marker when it is complete, so two drivers
+    never write into one folder and a reader never meets half a table."""
+    base = scratch_path(spark, "landing", _key(spark, sf_dir, inputs))
+    marker = f"{base}/{name}.at"
     with _LOCK:
-        return _land(spark, sf_dir, force, with_gold)
-
-
-def _land(spark: SparkSession, sf_dir: str, force: bool, with_gold: bool) -> tuple[str, str, str]:
-    bronze, silver, gold = landing_paths(spark, sf_dir)
-    if force or not fs.exists(spark, f"{bronze}/_SUCCESS"):
-        adapter.raw_readings(spark, sf_dir).write.mode("overwrite").parquet(bronze)
-    if force or not fs.exists(spark, f"{silver}/_SUCCESS"):
-        raw = spark.read.parquet(bronze)
-        # One shuffle on (year, salt) so each task writes one year's file of
-        # bounded size: without it every task writes a file per year, which
-        # at scale means tasks x years small files. A hot year spreads over
-        # its salts. Static overwrite (a whole-table write) keeps _SUCCESS.
-        salts = salts_for(raw)
+        at = None if force else fs.read_marker(spark, marker)
+        if at is None:
+            path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+            build(path)
+            fs.publish(spark, marker, path, replace=force)
+            at = fs.read_marker(spark, marker) or path
+    return at
+
+
+def land_bronze(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
+    """Raw text readings."""
+    return _once(spark, sf_dir, "bronze", lambda p: adapter.raw_readings(spark, sf_dir).write.parquet(p), force, _READINGS)
+
+
+def land_silver(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
+    """Typed readings by year. One shuffle on (year, salt), so a task writes one
+    year's file of bounded size instead of a file for every year; a hot year
+    spreads over its salts."""
+    def build(path: str) -> None:
+        source = land_bronze(spark, sf_dir)
+        raw = spark.read.parquet(source)
+        years = raw.select(F.substring("Measurement date", 1, 4)).distinct().count()
+        salts = salts_for(fs.size(spark, source), years)
         (ingest(raw).repartition(F.col("year"), F.pmod(F.xxhash64("reading_id"), F.lit(salts)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("year").parquet(silver))
-    if with_gold and (force or not fs.exists(spark, f"{gold}/_SUCCESS")):
-        write_clean(spark.read.parquet(silver), gold)
-    return bronze, silver, gold
+         .write.partitionBy("year").parquet(path))
 
+    return _once(spark, sf_dir, "silver", build, force, _READINGS)
 
-# Landed file size to aim for; the salt count per year follows from the
-# size of the raw landing.
-TARGET_FILE_BYTES = 1 << 30
+
+def land_gold(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
+    """Readings inside the outlier band, by year; silver's file layout stays."""
+    def build(path: str) -> None:
+        outlier_band(silver(spark, sf_dir), MEASURES).write.partitionBy("year").parquet(path)
+
+    return _once(spark, sf_dir, "gold", build, force, _READINGS)
 
 
-def salts_for(df: DataFrame) -> int:
-    from hazeline.operators.joins import estimated_bytes
-    size = estimated_bytes(df) or 0
-    return max(1, math.ceil(size / TARGET_FILE_BYTES))
+# Landed file size to aim for.
+TARGET_FILE_BYTES = 1 << 30
 
 
-def write_clean(readings: DataFrame, path: str) -> None:
-    """The outlier band over all readings, written once, by year."""
-    (outlier_band(readings, MEASURES).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("year").parquet(path))
+def salts_for(output_bytes: int, partitions: int) -> int:
+    """Files of each of ``partitions`` folders so that a file of an output of
+    that size holds about TARGET_FILE_BYTES."""
+    return max(1, math.ceil(output_bytes / (TARGET_FILE_BYTES * max(1, partitions))))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(land(spark, sf_dir)[0])
+    return spark.read.parquet(land_bronze(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(land(spark, sf_dir)[1])
+    return spark.read.parquet(land_silver(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(land(spark, sf_dir)[2])
+    return spark.read.parquet(land_gold(spark, sf_dir))
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str, build, force: bool = False) -> str:
     """Path of a table or file set derived from the inputs, written once by
     ``build(path)`` and reused while the inputs are unchanged."""
-    path = scratch_path(spark, "landing", _key(spark, sf_dir), name)
-    with _LOCK:
-        if force or not fs.exists(spark, f"{path}/_SUCCESS"):
-            build(path)
-    return path
+    return _once(spark, sf_dir, name, build, force, _INPUTS)
 
 
 def fresh(spark: SparkSession, name: str) -> str:
     """A new, unused folder for one run of a sink (never cleared, never reused)."""
-    import uuid
     return scratch_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
