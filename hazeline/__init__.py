@@ -8,7 +8,7 @@ calls a Python UDF.
 The names below are the public surface; see README.md for a worked example.
 """
 
-from hazeline.functions import (district_of, dmy_to_date, dmy_to_iso, exact_mean,
+from hazeline.functions import (district_of, dmy_to_date, dmy_to_iso,
                                 pairwise_corr, parse_measured, to_double)
 from hazeline.operators.aggregates import (histogram, max_all_numeric, mean_all_numeric,
                                            mean_by, measure_range, nonnull_count_by, profile)

@@ -3,7 +3,7 @@
 from hazeline.functions.address import district_of
 from hazeline.functions.dates import (date_part_strings, dmy_to_date, dmy_to_iso,
                                       int_part, parse_measured)
-from hazeline.functions.safe import (exact_mean, pairwise_corr, to_double,
+from hazeline.functions.safe import (pairwise_corr, to_double,
                                      unify_null)
 
 __all__ = ["district_of", "date_part_strings", "dmy_to_date", "dmy_to_iso",

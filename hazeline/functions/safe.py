@@ -6,28 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Means are summed as DECIMAL(18, scale) so that the result does not depend
-# on partitioning or row order (a double sum does). Measures here carry at
-# most 4 decimals; the sum buffer stays long-backed while it fits 18 digits.
-MEAN_SCALE = 4
-
-
 def unify_null(c: Column) -> Column:
     """NaN becomes NULL, so averages, maxima and comparisons skip it."""
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def to_double(c: Column | str) -> Column:
-    """Malformed text becomes NULL instead of failing the job; NaN -> NULL."""
+    """Text as DOUBLE. Malformed text, NaN and infinities become NULL: none of
+    them is a reading, and one infinite value would take a mean with it."""
     c = F.col(c) if isinstance(c, str) else c
-    return unify_null(c.try_cast("double"))
+    v = c.try_cast("double")
+    return F.when(F.abs(v) < float("inf"), v)
 
 
-def exact_mean(c: Column | str, scale: int = MEAN_SCALE) -> Column:
-    """Order-independent mean: decimal sum over the non-NULL count."""
+def rounded(c: Column | str, digits: int = 6) -> Column:
+    """A result rounded for display or comparison. The nudge lies far below the
+    last digit kept, so exact halves fall the same way whatever the order of a
+    sum; adding zero turns -0.0 into 0.0."""
     c = F.col(c) if isinstance(c, str) else c
-    s = F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
-    return F.try_divide(s, F.count(c).cast("double"))
+    return F.round(c + F.lit(10.0 ** -(digits + 3)), digits) + F.lit(0.0)
 
 
 def pairwise_corr(a: Column | str, b: Column | str) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline.functions.safe import exact_mean
 from hazeline.operators.quantiles import exact_quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -35,7 +34,7 @@ def mean_by(df: DataFrame, keys: list[str], measures: list[str],
     if drop_null_keys and keys:
         for k in keys:
             df = df.filter(_q(k).isNotNull())
-    aggs = [exact_mean(_q(m)).alias(f"{prefix}{m}") for m in measures]
+    aggs = [F.avg(_q(m)).alias(f"{prefix}{m}") for m in measures]
     return df.groupBy(*[_q(k) for k in keys]).agg(*aggs) if keys else df.agg(*aggs)
 
 
@@ -82,7 +81,7 @@ def profile(df: DataFrame, measures: list[str], stats: list[str] | None = None,
     qs = [s for s in stats if s.endswith("%")]
     exprs = {
         "count": lambda m: F.count(m).cast("double"),
-        "mean": lambda m: exact_mean(m),
+        "mean": lambda m: F.avg(m),
         "stddev": lambda m: F.round(F.stddev_samp(m), digits),
         "min": lambda m: F.min(m) + F.lit(0.0),
         "max": lambda m: F.max(m) + F.lit(0.0),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.safe import exact_mean
 from hazeline.operators.quantiles import exact_quantiles
 from hazeline.schemas import BAND_LOWER_FACTOR, BAND_QUANTILE, BAND_SIGMAS, THREE_SIGMA
 
@@ -35,10 +35,16 @@ def filter_positive(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.filter(_all([F.col(c) > 0 for c in cols]))
 
 
-def filter_year_month(df: DataFrame, date_col: str, year: int, month: int | None = None) -> DataFrame:
-    cond = F.year(date_col) == year
-    if month is not None:
-        cond = cond & (F.month(date_col) == month)
+def filter_year_month(df: DataFrame, date_col: str, year: int, month: int | None = None,
+                      year_col: str | None = "year") -> DataFrame:
+    """Rows of one year or month as a range of dates, which reaches the scan's
+    row-group statistics. With a column that holds the date's year (a folder
+    column of the landed tables) the year is asked for too and prunes folders."""
+    first = datetime.date(year, month or 1, 1)
+    following = datetime.date(year + (month in (None, 12)), (month or 12) % 12 + 1, 1)
+    cond = (F.col(date_col) >= F.lit(first)) & (F.col(date_col) < F.lit(following))
+    if year_col in df.columns:
+        cond = cond & (F.col(year_col) == year)
     return df.filter(cond)
 
 
@@ -48,7 +54,7 @@ def cutoff_values(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMA
     """``lo_<m>`` = exact q-quantile * lower_factor and ``hi_<m>`` = mean +
     sigmas * stddev_samp, from the unfiltered rows: a few aggregate passes
     (exact selection, see ``quantiles``) return 2 * len(measures) numbers."""
-    extras = [(exact_mean(m) + sigmas * F.stddev_samp(m)).alias(f"hi_{m}") for m in measures]
+    extras = [(F.avg(m) + sigmas * F.stddev_samp(m)).alias(f"hi_{m}") for m in measures]
     qv, row = exact_quantiles(df, measures, [q], extras=extras)
     out = {}
     for m in measures:
@@ -88,6 +94,6 @@ def outlier_band(df: DataFrame, measures: list[str], sigmas: float = BAND_SIGMAS
 
 def sigma_cutoff(df: DataFrame, measure: str, sigmas: float = THREE_SIGMA) -> DataFrame:
     """mean + sigmas * stddev_samp of one measure, as a one-row frame."""
-    return df.agg(exact_mean(measure).alias("mean"),
+    return df.agg(F.avg(measure).alias("mean"),
                   F.stddev_samp(measure).alias("stddev"),
-                  (exact_mean(measure) + sigmas * F.stddev_samp(measure)).alias("cutoff"))
+                  (F.avg(measure) + sigmas * F.stddev_samp(measure)).alias("cutoff"))

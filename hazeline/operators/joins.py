@@ -61,39 +61,28 @@ def series_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str
 
 
 def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal",
-                 buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
-    """0-based position of each row in ``order_col`` order, without a global
-    single-partition window.
-
-    Rows go to range buckets whose bounds are approximate quantiles of the
-    order column (one scalar subquery). A value that holds many rows shows
-    up as several equal bounds; its rows are spread over all the buckets
-    those bounds span (ties have no order, so any split is valid), so a
-    value holding a third of all rows does not land in one task. The
-    bucketed frame is checkpointed, then rows are numbered inside each
-    bucket and shifted by the row count of all earlier buckets (a table of
-    one row per bucket)."""
+                 buckets: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order_col`` order (null first), without
+    a global single-partition window.
+
+    Rows are dealt to range partitions by the column and a random second key,
+    so a value that holds a third of all rows spreads over several partitions
+    (ties have no order), and sorted there. A row's place in its partition
+    comes from ``monotonically_increasing_id``. The result is checkpointed, as
+    both passes must see the same deal; then each partition is shifted by the
+    rows of all earlier ones (a table of one row per partition)."""
     from hazeline.session import scratch_dir
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / n for i in range(1, n)]
-    bounds = df.agg(F.percentile_approx(order_col, probs, accuracy).alias("b")).scalar()
-    v = F.col(order_col)
-    lt = F.size(F.filter("_bounds", lambda x: x < v))
-    le = F.size(F.filter("_bounds", lambda x: x <= v))
-    spread = F.floor(F.rand(17) * (le - lt + 1)).cast("int")
     scratch_dir(df.sparkSession)
-    b = (df.withColumn("_bounds", bounds)
-           .withColumn("_b", lt + F.when(le > lt, spread).otherwise(F.lit(0)))
-           .drop("_bounds")
-           .checkpoint())  # fixes the random spread for both passes below
-    local = b.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_b").orderBy(order_col)) - 1)
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_b", (F.sum("_n").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    # offsets holds one row per bucket: a proven bound, so it is broadcast.
-    return (local.join(F.broadcast(offsets), "_b")
-                 .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (df.withColumn("_s", F.rand(17)).repartitionByRange(n, order_col, "_s")
+             .sortWithinPartitions(order_col, "_s").withColumn("_m", F.monotonically_increasing_id())
+             .withColumns({"_b": F.shiftright("_m", 33), "_local": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))})
+             .drop("_s", "_m").checkpoint())
+    counts = dealt.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # offsets holds one row per partition: a proven bound, so it is broadcast.
+    return (dealt.join(F.broadcast(offsets), "_b").withColumn(name, F.col("_off") + F.col("_local"))
                  .drop("_b", "_local", "_off"))
 
 

@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from hazeline.functions.safe import rounded
 from hazeline.operators.filters import outlier_band
+from hazeline.pipelines import STATION_KEYS  # noqa: F401 - for the query modules
 from hazeline.schemas import MEASURES
 from hazeline.sources import landing
 
-# Fixed value: the key of one station, as the reference groups it.
-STATION_KEYS = ["station", "district", "latitude", "longitude"]
+
+
+def show(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A query's result with its computed columns (by default every DOUBLE)
+    rounded; the operators themselves don't round."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: rounded(f"`{c}`") for c in cols})
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

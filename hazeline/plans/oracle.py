@@ -6,13 +6,22 @@ from __future__ import annotations
 from hazeline.schemas import MEASURES, RAW_MEASURES
 
 
-def mean(c: str, scale: int = 4) -> str:
-    return f'CAST(SUM(CAST("{c}" AS DECIMAL(18,{scale}))) AS DOUBLE) / COUNT("{c}")'
+def mean(c: str) -> str:
+    return f'avg("{c}")'
+
+
+def rounded(expr: str, digits: int = 6) -> str:
+    """As ``functions.safe.rounded``: for values of a query's result."""
+    return f"round({expr} + 1e-{digits + 3}, {digits}) + 0.0"
+
+
+def out_means(measures: list[str] = MEASURES, prefix: str = "") -> str:
+    return ", ".join(f'{rounded(mean(m))} AS "{prefix}{m}"' for m in measures)
 
 
 def dbl(c: str) -> str:
-    """try_cast to DOUBLE with NaN mapped to NULL."""
-    return f'CASE WHEN isnan(TRY_CAST("{c}" AS DOUBLE)) THEN NULL ELSE TRY_CAST("{c}" AS DOUBLE) END'
+    """try_cast to DOUBLE; NaN and infinities are NULL."""
+    return f'CASE WHEN isfinite(TRY_CAST("{c}" AS DOUBLE)) THEN TRY_CAST("{c}" AS DOUBLE) END'
 
 
 STATIONS = """stations AS (

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from hazeline.operators import joins
 from hazeline.operators.aggregates import mean_by
 from hazeline.plans.catalog import register
-from hazeline.plans.common import STATION_KEYS, readings
-from hazeline.plans.oracle import BASE, CLEAN, mean, means, with_
+from hazeline.plans.common import STATION_KEYS, readings, show
+from hazeline.plans.oracle import BASE, CLEAN, mean, out_means, rounded, with_
 from hazeline.plans.q_aggregates import bike_daily
 from hazeline.schemas import MEASURES
 from hazeline.sources.adapter import boundaries
 
 _NN = " AND ".join(f"{k} IS NOT NULL" for k in STATION_KEYS + ["year"])
-_SYM = f"""sym AS (SELECT station, district, latitude, longitude, year, {means()}
+_SYM = f"""sym AS (SELECT station, district, latitude, longitude, year, {out_means()}
   FROM clean WHERE {_NN} GROUP BY station, district, latitude, longitude, year)"""
 _GEO = """geo AS (SELECT n_name AS "SIG_ENG_NM", 'Polygon' AS geometry_type,
   printf('[[%d, %d]]', n_nationkey, n_regionkey) AS geometry_coordinates FROM nation)"""
@@ -32,13 +32,24 @@ def boundary_join(spark, sf_dir):
     return joins.boundary_join(b, "SIG_ENG_NM", station_year_mean(spark, sf_dir), "district")
 
 
+@register("boundary_join_uncleaned", with_(BASE + [_SYM.replace("FROM clean", "FROM silver"), _GEO], """
+SELECT geo.*, sym.* EXCLUDE (district) FROM geo JOIN sym ON geo."SIG_ENG_NM" = sym.district"""))
+def boundary_join_uncleaned(spark, sf_dir):
+    """The map table over all readings, without the outlier band."""
+    from hazeline.plans.q_clean import station_year_mean_uncleaned
+    b = boundaries(spark, sf_dir).select(
+        "SIG_ENG_NM", F.col("geometry.type").alias("geometry_type"),
+        F.col("geometry.coordinates").alias("geometry_coordinates"))
+    return joins.boundary_join(b, "SIG_ENG_NM", station_year_mean_uncleaned(spark, sf_dir), "district")
+
+
 _BIKE_COLS = ["Rented Bike Count", "Hour", "Temperature"]
 _BIKE = f"""bike AS (SELECT CAST(strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS "Date",
   o_totalprice AS "Rented Bike Count", CAST(o_custkey AS DOUBLE) AS "Hour",
   CAST(o_orderkey AS DOUBLE) AS "Temperature" FROM orders),
-bike_d AS (SELECT "Date", {", ".join(f'{mean(c)} AS "{c}"' for c in _BIKE_COLS)}
+bike_d AS (SELECT "Date", {", ".join(f'{rounded(mean(c))} AS "{c}"' for c in _BIKE_COLS)}
   FROM bike WHERE "Date" IS NOT NULL GROUP BY "Date")"""
-_DAILY = f"daily AS (SELECT day, {means()} FROM silver WHERE day IS NOT NULL GROUP BY day)"
+_DAILY = f"daily AS (SELECT day, {out_means()} FROM silver WHERE day IS NOT NULL GROUP BY day)"
 
 
 def _daily(spark, sf_dir):
@@ -50,7 +61,7 @@ SELECT bike_d.*, daily.* FROM bike_d JOIN daily ON bike_d."Date" = daily.day""")
 def daily_series_join(spark, sf_dir):
     """Daily second series joined to daily reading means on the date; both
     sides are aggregated before the join."""
-    return joins.series_join(bike_daily(spark, sf_dir), "Date", _daily(spark, sf_dir), "day")
+    return show(joins.series_join(bike_daily(spark, sf_dir), "Date", _daily(spark, sf_dir), "day"))
 
 
 @register("row_aligned_join", with_(BASE + [_BIKE, _DAILY, """
@@ -60,4 +71,4 @@ SELECT a.*, b.* EXCLUDE (ordinal) FROM a JOIN b USING (ordinal)"""))
 def row_aligned_join(spark, sf_dir):
     """Row-position concatenation of the two daily series (each in date
     order), inner on position."""
-    return joins.row_aligned_join(bike_daily(spark, sf_dir), "Date", _daily(spark, sf_dir), "day")
+    return show(joins.row_aligned_join(bike_daily(spark, sf_dir), "Date", _daily(spark, sf_dir), "day"))

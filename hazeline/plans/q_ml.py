@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hazeline.functions import safe
 from hazeline.operators import ml
 from hazeline.plans.catalog import register
-from hazeline.plans.common import readings
-from hazeline.plans.oracle import BASE, with_
+from hazeline.plans.common import readings, show
+from hazeline.plans.oracle import BASE, rounded, with_
 
 # The reference's feature list and label.
 FEATURES = ["SO2", "CO", "PM10", "NO2"]
@@ -68,3 +69,44 @@ def linear_predict(spark, sf_dir):
     pred = ml.predict(model, test, FEATURES, LABEL, ["reading_id"])
     m = ml.regression_metrics(pred, LABEL)
     return pred.withColumn("test_rmse", F.lit(m["rmse"])).withColumn("test_r2", F.lit(m["r2"]))
+
+
+# One feature: the fit that SQL has as aggregates.
+FEATURE = "PM10"
+_PARTS = f"""parts AS (SELECT reading_id, "{LABEL}" AS y, "{FEATURE}" AS x, {_SPLIT_SQL} AS part FROM silver),
+train AS (SELECT * FROM parts WHERE part = 'train' AND x IS NOT NULL AND y IS NOT NULL),
+fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2,
+  CAST(regr_count(y, x) AS BIGINT) AS n FROM train)"""
+
+
+def _fit_one(spark, sf_dir):
+    train, test = _parts(spark, sf_dir)
+    return ml.fit_linear(train, [FEATURE], LABEL), test
+
+
+@register("linear_fit_one", with_(BASE + [_PARTS], f"""
+SELECT '{FEATURE}' AS term, {rounded("slope")} AS coefficient FROM fit
+UNION ALL SELECT 'intercept', {rounded("intercept", 3)} FROM fit"""))
+def linear_fit_one(spark, sf_dir):
+    """Slope and intercept of PM25 ~ PM10 fitted on the training part."""
+    model, _ = _fit_one(spark, sf_dir)
+    out = ml.coefficients(model, [FEATURE], spark)
+    digits = safe.rounded("coefficient", 3)
+    return out.select("term", F.when(F.col("term") == "intercept", digits).otherwise(safe.rounded("coefficient")).alias("coefficient"))
+
+
+@register("linear_r2_one", with_(BASE + [_PARTS], f"SELECT {rounded('r2')} AS r2, n FROM fit"))
+def linear_r2_one(spark, sf_dir):
+    """Training R2 and row count of the one-feature fit."""
+    model, _ = _fit_one(spark, sf_dir)
+    return show(spark.createDataFrame([(float(model.summary.r2), int(model.summary.numInstances))], "r2 double, n long"))
+
+
+@register("linear_predict_one", with_(BASE + [_PARTS], f"""
+SELECT reading_id, y AS "{LABEL}", {rounded("intercept + slope * x", 3)} AS prediction
+FROM parts, fit WHERE part = 'test' AND x IS NOT NULL"""))
+def linear_predict_one(spark, sf_dir):
+    """Predictions of the one-feature fit on the held-out part."""
+    model, test = _fit_one(spark, sf_dir)
+    pred = ml.predict(model, test, [FEATURE], LABEL, ["reading_id"])
+    return pred.withColumn("prediction", safe.rounded("prediction", 3))

@@ -11,8 +11,8 @@ from hazeline.operators import filters as flt
 from hazeline.operators import nulls, projection
 from hazeline.operators.aggregates import mean_all_numeric
 from hazeline.plans.catalog import register
-from hazeline.plans.common import band_live, cleaned, raw, readings
-from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, mean, with_
+from hazeline.plans.common import band_live, cleaned, raw, readings, show
+from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, mean, rounded, with_
 from hazeline.schemas import MEASURES, RAW_MEASURES
 from hazeline.sources.adapter import bike_days
 
@@ -89,13 +89,13 @@ def rest_columns(spark, sf_dir):
 
 
 @register("positional_projection", with_(BASE, """
-SELECT """ + ", ".join(f'{mean(c)} AS "{c}"' for c in
+SELECT """ + ", ".join(f'{rounded(mean(c))} AS "{c}"' for c in
                        ["latitude", "longitude", *MEASURES, "month", "year"]) + """
 FROM silver WHERE district IS NOT NULL GROUP BY district"""))
 def positional_projection(spark, sf_dir):
     """Everything but the first column of the district mean table."""
     df = readings(spark, sf_dir).drop("reading_id", "station")
-    return projection.positional_projection(mean_all_numeric(df, ["district"]), 1)
+    return show(projection.positional_projection(mean_all_numeric(df, ["district"]), 1))
 
 
 # ---- 2.4 filters -----------------------------------------------------------
@@ -140,11 +140,11 @@ def outlier_band(spark, sf_dir):
 
 
 @register("three_sigma_cutoff", with_(BASE, f"""
-SELECT {mean("PM25")} AS mean, round(stddev_samp("PM25"), 6) AS stddev,
+SELECT {rounded(mean("PM25"))} AS mean, round(stddev_samp("PM25"), 6) AS stddev,
   round({mean("PM25")} + 3.0 * stddev_samp("PM25"), 6) AS cutoff FROM silver"""))
 def three_sigma_cutoff(spark, sf_dir):
     c = flt.sigma_cutoff(readings(spark, sf_dir), "PM25", 3.0)
-    return c.select("mean", F.round("stddev", 6).alias("stddev"), F.round("cutoff", 6).alias("cutoff"))
+    return show(c, ["mean"]).select("mean", F.round("stddev", 6).alias("stddev"), F.round("cutoff", 6).alias("cutoff"))
 
 
 @register("filter_year_month", with_(BASE, f"""
@@ -162,11 +162,19 @@ def _nn(cols):
     return " + ".join(f'(CASE WHEN "{c}" IS NOT NULL THEN 1 ELSE 0 END)' for c in cols)
 
 
-@register("drop_all_null", with_(BASE, f"""
-SELECT reading_id, {_cols(_NULLY)} FROM silver WHERE {_nn(_NULLY)} > 0"""))
+# Readings whose measures are emptied by a rule on the key, so that rows without
+# any value exist at every scale.
+_EMPTIED = 13
+_EMPTIED_SQL = "emptied AS (SELECT reading_id, " + ", ".join(
+    f'CASE WHEN reading_id % {_EMPTIED} <> 0 THEN "{c}" END AS "{c}"' for c in _NULLY) + " FROM silver)"
+
+
+@register("drop_all_null", with_(BASE + [_EMPTIED_SQL], f"""
+SELECT reading_id, {_cols(_NULLY)} FROM emptied WHERE {_nn(_NULLY)} > 0"""))
 def drop_all_null(spark, sf_dir):
-    return nulls.drop_null_rows(readings(spark, sf_dir).select("reading_id", *_NULLY),
-                                how="all", subset=_NULLY)
+    emptied = readings(spark, sf_dir).select("reading_id", *(
+        F.when(F.col("reading_id") % _EMPTIED != 0, F.col(c)).alias(c) for c in _NULLY))
+    return nulls.drop_null_rows(emptied, how="all", subset=_NULLY)
 
 
 @register("drop_thresh", with_(BASE, f"""

@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline import sinks
+from hazeline import pipelines, sinks
 from hazeline.plans.catalog import register
-from hazeline.plans.common import cleaned, raw
-from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, means, with_
-from hazeline.plans.q_aggregates import DISTRICT_MEAN_SQL, district_mean_table
+from hazeline.plans.common import cleaned, raw, show
+from hazeline.plans.oracle import BASE, CLEAN, RAW, STATIONS, out_means, with_
+from hazeline.plans.q_aggregates import DISTRICT_MEAN_OUT, district_mean_table
 from hazeline.plans.readings import ingest
 from hazeline.schemas import MEASURES, RAW_MEASURES
 from hazeline.sources import adapter, files, landing
@@ -143,14 +143,10 @@ def geojson_boundaries(spark, sf_dir):
 # ---- sinks -----------------------------------------------------------------
 
 def _month_grain(spark, sf_dir):
-    """The reference's month-grain cleaned output: time cut to yyyy-MM and
-    the address cut to the district."""
-    c = cleaned(spark, sf_dir)
-    return c.select("station", F.date_format("measured_at", "yyyy-MM").alias("ym"),
-                    "district", "latitude", "longitude", *MEASURES, "year")
+    return pipelines.month_grain(cleaned(spark, sf_dir))
 
 
-_RT = f"""SELECT strftime(measured_at, '%Y-%m') AS ym, district, CAST(count(*) AS BIGINT) AS n, {means()}
+_RT = f"""SELECT strftime(measured_at, '%Y-%m') AS ym, district, CAST(count(*) AS BIGINT) AS n, {out_means()}
 FROM clean GROUP BY 1, 2"""
 
 
@@ -166,23 +162,22 @@ def csv_sink_roundtrip(spark, sf_dir):
 
 
 def _count_and_means(df, keys):
-    from hazeline.functions.safe import exact_mean
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                 *[exact_mean(m).alias(m) for m in MEASURES])
+    return show(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                      *[F.avg(m).alias(m) for m in MEASURES]))
 
 
-@register("csv_sink_aggregate", with_(BASE, DISTRICT_MEAN_SQL))
+@register("csv_sink_aggregate", with_(BASE, DISTRICT_MEAN_OUT))
 def csv_sink_aggregate(spark, sf_dir):
     """The district mean table written as CSV (keys are columns, no index)
     and read back with its schema: doubles survive the text round trip."""
     path = landing.fresh(spark, "csv_aggregate")
     df = district_mean_table(spark, sf_dir)
     sinks.csv_sink(df, path)
-    return files.csv_typed(spark, path, df.schema)
+    return show(files.csv_typed(spark, path, df.schema))
 
 
 @register("year_partitioned_sink", with_(CLEAN, f"""
-SELECT year, CAST(count(*) AS BIGINT) AS n, {means()} FROM clean GROUP BY year"""))
+SELECT year, CAST(count(*) AS BIGINT) AS n, {out_means()} FROM clean GROUP BY year"""))
 def year_partitioned_sink(spark, sf_dir):
     """Cleaned readings written once, one folder per year; read back (year
     from the folder names) and aggregated per year."""

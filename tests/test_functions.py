@@ -14,8 +14,8 @@ GOOD = "19, Riverside-ro 35-gil, Central-gu, Metro City, Countryland"
 
 def _raw(spark, **over):
     base = {"reading_id": 1, "Measurement date": "2017-01-01 00:00", "Station code": "101",
-            "Address": GOOD, "Latitude": "37.57", "Longitude": "126.97", "SO2": "0.004",
-            "NO2": "0.059", "O3": "0.002", "CO": "1.2", "PM10": "73.0", "PM2.5": "57.0"}
+            "Address": GOOD, "Latitude": "37.57", "Longitude": "126.97", "SO2": "0.012",
+            "NO2": "0.031", "O3": "0.027", "CO": "0.6", "PM10": "44.0", "PM2.5": "18.0"}
     base.update(over)
     return inline_rows(spark, [tuple(base[f.name] for f in RAW_READINGS.fields)], RAW_READINGS)
 
@@ -35,7 +35,7 @@ def test_malformed_missing_nan_become_null(spark):
 def test_ingest_types_and_keys(spark):
     r = ingest(_raw(spark, SO2="bad", NO2=None, PM10="NaN")).collect()[0]
     assert r.station == 101 and r.district == "Central-gu"
-    assert r.SO2 is None and r.NO2 is None and r.PM10 is None and r.PM25 == 57.0
+    assert r.SO2 is None and r.NO2 is None and r.PM10 is None and r.PM25 == 18.0
     assert (r.year, r.month, str(r.day)) == (2017, 1, "2017-01-01")
 
 
@@ -55,3 +55,21 @@ def test_no_nan_survives_ingest(spark):
     df = ingest(_raw(spark, PM10="NaN", CO="nan"))
     vals = df.select(F.col("PM10"), F.col("CO")).collect()[0]
     assert all(v is None or not math.isnan(v) for v in vals)
+
+
+def test_means_keep_all_digits(spark):
+    from hazeline.operators.aggregates import mean_by
+    df = inline_rows(spark, [("a", 37.572016, 0.00002, 1e15), ("a", 37.572041, 0.00004, 3e15)], "k string, x double, y double, z double")
+    r = mean_by(df, ["k"], ["x", "y", "z"]).first()
+    assert math.isclose(r.x, 37.5720285, rel_tol=1e-14) and math.isclose(r.y, 0.00003, rel_tol=1e-12) and r.z == 2e15
+
+
+def test_infinite_text_is_no_reading(spark):
+    df = inline_rows(spark, [("Infinity",), ("-inf",), ("1e15",), ("2",)], "x string")
+    assert [r.v for r in df.select(to_double("x").alias("v")).collect()] == [None, None, 1e15, 2.0]
+
+
+def test_rounded_halves_fall_alike(spark):
+    from hazeline.functions.safe import rounded
+    df = inline_rows(spark, [(0.0384375,), (0.03843749999999999,), (-1e-12,)], "x double")
+    assert [str(r.v) for r in df.select(rounded("x").alias("v")).collect()] == ["0.038438", "0.038438", "0.0"]

@@ -62,3 +62,10 @@ def test_cluster_settings_scale():
     c = cluster_settings(100 << 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_ordinal_with_nulls_and_many_buckets(spark):
+    df = inline_rows(spark, [(v if v % 5 else None,) for v in range(400)], "v int")
+    rows = sorted(joins.with_ordinal(df, "v", buckets=64).collect(), key=lambda r: r.ordinal)
+    assert [r.ordinal for r in rows] == list(range(400))
+    assert [r.v for r in rows] == [None] * 80 + [v for v in range(400) if v % 5]
