@@ -80,18 +80,24 @@ def edited_likeness(docs: DataFrame, anchors: tuple[str, ...] = ANCHORS) -> Data
     null doc_id has no next document, as if that were empty.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_signatures(own, "text", "sigs", anchors).withColumn("n_chars", F.length("text").cast("long"))
-    first = Window.partitionBy("next_id").orderBy("next_text")
-    following = (own.where("doc_id is not null")
-                 .select(F.col("doc_id").cast("long").alias("next_id"), F.col("text").alias("next_text"), F.col("sigs").alias("next_sigs"))
-                 .withColumn("n", F.row_number().over(first)).where("n = 1").drop("n"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    own = own.select("doc_id", "n_chars", "sigs", F.expr("substring(text, 1, int(n_chars) - int(floor(n_chars / 2)))").alias("head"))
-    joined = (own.join(next_lower(docs).withColumnRenamed("id", "doc_id"), "doc_id", "left")
-              .join(following, "next_id", "left"))
-    edited = F.concat("head", F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
+    half = F.floor(F.length("text") / 2).cast("int")
+    # Who a document is next to, and how much of its start that one takes.
+    halves = own.where("doc_id is not null").groupBy("doc_id").agg(F.max(half).alias("half"))
+    owners = (next_lower(docs).join(halves, F.col("id") == F.col("doc_id"))
+              .select(F.col("next_id").alias("doc_id"), F.col("id").alias("owner"), "half"))
+    # Texts and signatures are dealt by id once, for both sides; what travels on
+    # to the document before is the start that it takes, and the signatures.
+    dealt = with_signatures(own, "text", "sigs", anchors).repartition("doc_id")
+    least = Window.partitionBy("doc_id").orderBy("text")
+    start = F.substring(F.col("text"), F.lit(1), F.col("half")).alias("next_text")
+    sent = (dealt.where("doc_id is not null").withColumn("n", F.row_number().over(least)).where("n = 1")
+            .join(owners, "doc_id").select("owner", start, F.col("sigs").alias("next_sigs")))
+    joined = dealt.join(sent, F.col("doc_id") == F.col("owner"), "left")
+    head = F.substring(F.col("text"), F.lit(1), F.length("text") - half)
+    edited = F.concat(head, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     none = F.expr("cast(array() as array<int>)")
-    out = joined.select("doc_id", "n_chars", "sigs", F.coalesce("next_sigs", none).alias("next_sigs"), edited.alias("edited"))
+    out = joined.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sigs",
+                        F.coalesce("next_sigs", none).alias("next_sigs"), edited.alias("edited"))
     out = with_signatures(out, "edited", "edited_sigs", anchors).withColumn("edited_sha256", F.sha2("edited", 256))
     return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sigs")).alias("fingerprint"),
                       fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
