@@ -82,6 +82,46 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(windows(turns))
 
 
+#: The same windows and digests from the turns themselves, without formatting.
+ORACLE["op2_chat_windows"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+t AS (
+  SELECT *, len(regexp_extract_all(text, '\S+')) + 4 AS tokens,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS seq,
+    12 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\/')) + 1
+      + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 11 AS chars FROM c),
+p AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY seq) - tokens AS start FROM t),
+s AS (
+  SELECT conv_id, min(seq) AS sys_seq, arg_min(tokens, seq) AS sys_tokens, arg_min(chars, seq) AS sys_chars
+  FROM t WHERE role = 'system' GROUP BY conv_id),
+a AS (
+  SELECT p.*, sys_seq, sys_chars, greatest(floor((1792 - coalesce(sys_tokens, 0)) / 2), 1) AS stretch
+  FROM p LEFT JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+b AS (SELECT *, floor(start / stretch) AS win FROM a),
+w AS (
+  SELECT conv_id, win, min(start) AS begins, min(seq) AS from_seq, any_value(stretch) AS stretch,
+    any_value(sys_seq) AS sys_seq, any_value(sys_chars) AS sys_chars, sum(chars) AS own FROM b GROUP BY conv_id, win),
+h AS (
+  SELECT w.conv_id, w.win, sum(b.chars) AS past FROM w JOIN b
+    ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND b.win = w.win - 1
+  WHERE b.start >= w.begins - least(256, w.stretch) AND b.seq IS DISTINCT FROM w.sys_seq GROUP BY w.conv_id, w.win),
+f AS (
+  SELECT w.conv_id, count(*) AS n_windows,
+    sum(own + coalesce(past, 0) + CASE WHEN w.sys_seq < w.from_seq THEN w.sys_chars ELSE 0 END) AS formatted_chars
+  FROM w LEFT JOIN h ON w.conv_id IS NOT DISTINCT FROM h.conv_id AND w.win = h.win GROUP BY w.conv_id),
+d AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY seq) FILTER (role = 'assistant'), '') AS loss FROM t GROUP BY conv_id)
+SELECT d.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars, n_windows
+FROM d JOIN f ON d.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
+
+
 @query
 def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of documents and their edited texts, with likenesses."""
