@@ -87,12 +87,15 @@ def edited_likeness(docs: DataFrame, anchors: tuple[str, ...] = ANCHORS) -> Data
               .select(F.col("next_id").alias("doc_id"), F.col("id").alias("owner"), "half"))
     # Texts and signatures are dealt by id once, for both sides; what travels on
     # to the document before is the start that it takes, and the signatures.
-    dealt = with_signatures(own, "text", "sigs", anchors).repartition("doc_id")
+    named = own.where("doc_id is not null")
+    dealt = with_signatures(named, "text", "sigs", anchors).repartition("doc_id")
     least = Window.partitionBy("doc_id").orderBy("text")
     start = F.substring(F.col("text"), F.lit(1), F.col("half")).alias("next_text")
-    sent = (dealt.where("doc_id is not null").withColumn("n", F.row_number().over(least)).where("n = 1")
+    sent = (dealt.withColumn("n", F.row_number().over(least)).where("n = 1")
             .join(owners, "doc_id").select("owner", start, F.col("sigs").alias("next_sigs")))
-    joined = dealt.join(sent, F.col("doc_id") == F.col("owner"), "left")
+    alone = with_signatures(own.where("doc_id is null"), "text", "sigs", anchors)
+    joined = dealt.join(sent, F.col("doc_id") == F.col("owner"), "left").drop("owner")
+    joined = joined.unionByName(alone, allowMissingColumns=True)
     head = F.substring(F.col("text"), F.lit(1), F.length("text") - half)
     edited = F.concat(head, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     none = F.expr("cast(array() as array<int>)")
