@@ -1,121 +1,228 @@
-"""Fuzzy line deduplication by MinHash, with DataFrame functions only.
-
-Equal lines are one node. A line's shingles for the signature are the runs of up
-to 24 characters that begin at its words; the signature is the 8 least of their
-hashes, and each of these is a band. Lines that share a band are candidates;
-two lines of Jaccard similarity 0.8 share none with a probability of about
-0.001. A pair is a link if the Jaccard similarity of the full sets of 5-character
-shingles is high enough. One line of each component stays: the first.
+"""Fuzzy line deduplication by MinHash.
+
+Equal lines are one node, known by a 64-bit hash. A line's signature is the 8
+least hashes of its character runs, each of which is a band: runs of 24 bytes,
+and for lines shorter than 64 bytes runs of 10 (lines of 48 to 63 have both, so
+lines of similar length always share a kind). Lines that share a band are
+candidates; two long lines whose 5-character shingles have a Jaccard similarity
+of 0.8 share none with a probability of about 0.004. A pair is a link if the
+Jaccard similarity of the full sets of shingles is high enough. Components come
+from a distributed union-find, and the first line of each stays.
+
+The hashing of lines and the comparison of sets run as numpy over Arrow batches;
+grouping, joins, union-find and the cutting of texts are DataFrame operations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import materialize
+from hazeline.llm import bitmap
+from hazeline.llm.common import byte_view, materialize, mix64, prepare, slices
 from hazeline.llm.hubs import hub_pairs, unresolved
 from hazeline.llm.union_find import union_find
+from hazeline.llm.wordhash import NOT_SPACE, powers
 
-BAND_CHARS = 24
+#: Kinds of runs: their bytes, and the lengths of lines (from, below) that have them.
+RUNS = ((24, 48, 1 << 62), (10, 0, 64))
 BANDS = 8
 CHARS = 5
-HUB_ROUNDS = 2
-#: Parts that the members of a bucket are dealt to in the last round.
-BLOCKS = 8
-#: Bands that a pair of the last round has in common: at a similarity of 0.8
-#: nearly five of eight are expected. Lines with fewer bands need one.
+#: Members of a bucket that one block of the pairwise round holds.
+BLOCK = 1000
+#: Bands that a pair of the last round has in common: about five of eight are
+#: expected at a similarity of 0.8. Lines with fewer bands need one.
 SHARED = 2
+#: Bits of the bitmap that tells which lines are wanted.
+BITMAP_BITS = 1 << 24
+
+
+def line_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that lie end to end: text, number, start and end of every line
+    that isn't blank, without the white space at its ends."""
+    breaks = np.flatnonzero(raw == 10)
+    start = np.sort(np.concatenate((offsets[:-1], breaks + 1)), kind="stable")
+    # A break at the very end of a text begins a line at the next one's offset.
+    text = np.searchsorted(offsets[:-1], start, side="right") - 1
+    owner = np.searchsorted(offsets, breaks, side="right") - 1
+    per_text = np.bincount(owner, minlength=len(offsets) - 1) + 1
+    text = np.repeat(np.arange(len(offsets) - 1), per_text)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    first = number == 0
+    start = np.empty(len(text), np.int64)
+    start[first], start[~first] = offsets[:-1], breaks + 1
+    end = np.empty(len(text), np.int64)
+    last = np.append(first[1:], True)
+    end[last], end[~last] = offsets[1:], breaks
+    solid = np.flatnonzero(NOT_SPACE[raw])
+    left, right = np.searchsorted(solid, start), np.searchsorted(solid, end)
+    some = right > left
+    return text[some], number[some], solid[left[some]], solid[right[some] - 1] + 1
+
+
+def _sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of the polynomial of all bytes, and the inverse powers."""
+    power, inverse = powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=sums[1:])
+    return sums, inverse
+
+
+def signatures(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bands of lines, line by line, and how many each line has."""
+    lines, hashes = [], []
+    for size, low, high in RUNS:
+        length = end - start
+        own = np.flatnonzero((length >= low) & (length < high))
+        n = np.maximum(length[own] - size + 1, 1)
+        # Of a long line only hashes below a bound are sorted: 64 are expected.
+        bound = np.where(n <= 128, 1.0, 64 / n)
+        line = np.repeat(own, n)
+        at = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)
+        stop = np.minimum(at + size, np.repeat(end[own], n))
+        h = mix64((sums[stop] - sums[at]) * inverse[at] + np.uint64(size))
+        low_enough = (h >> np.uint64(11)) * 2.0 ** -53 < np.repeat(bound, n)
+        line, h = line[low_enough], h[low_enough]
+        order = np.lexsort((h, line))
+        line, h = line[order], h[order]
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+        line, h = line[fresh], h[fresh]
+        first = np.searchsorted(line, line)
+        least = np.arange(len(line)) - first < BANDS
+        lines.append(line[least])
+        hashes.append(h[least])
+    line, h = np.concatenate(lines), np.concatenate(hashes)
+    order = np.argsort(line, kind="stable")
+    return h[order], np.bincount(line, minlength=len(start))
+
+
+def _lines(keyed: DataFrame, bands: bool = False, wanted=None, texts: bool = False) -> DataFrame:
+    """doc_id, doc_key, pos, node of every line that isn't blank; with its bands
+    or text if asked for, and only lines whose bit is set in ``wanted``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, max_bytes=1 << 20):
+                raw, offsets = byte_view(part.column("text"))
+                text, pos, start, end = line_bounds(raw, offsets)
+                sums, inverse = _sums(raw)
+                node = mix64((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+                if wanted is not None:
+                    keep = bitmap.has(wanted.value, node)
+                    text, pos, start, end, node = (x[keep] for x in (text, pos, start, end, node))
+                columns = [part.column("doc_id").take(pa.array(text)), part.column("doc_key").take(pa.array(text)),
+                           pa.array(pos.astype(np.int32)), pa.array(node.view(np.int64))]
+                names = ["doc_id", "doc_key", "pos", "node"]
+                if bands:
+                    h, n = signatures(sums, inverse, start, end)
+                    ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                    columns, names = [*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], [*names, "bands"]
+                if texts:
+                    cut = [raw[s:e].tobytes().decode() for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+                    columns, names = [*columns, pa.array(cut, pa.string())], [*names, "line"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, doc_key long, pos int, node long" + ", bands array<long>" * bands + ", line string" * texts
+    return keyed.select("doc_id", F.col("_key").alias("doc_key"), "text").mapInArrow(run, schema)
+
+
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """Sorted distinct 5-character runs of each line, as 64-bit hashes of their
+    code points; a shorter line is its only run."""
+    filled = [x if len(x) >= CHARS else x + "\0" * (CHARS - len(x)) for x in lines]
+    points = np.frombuffer("".join(filled).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    m, total = max(0, len(points) - CHARS + 1), np.zeros(1, np.uint64)
+    for i in range(CHARS):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + points[i:i + m]
+    total = mix64(total)
+    ends = np.cumsum([len(x) for x in filled]).tolist()
+    out, start = [], 0
+    for end in ends:
+        own = np.sort(total[start:end - CHARS + 1])
+        keep = np.ones(len(own), bool)
+        keep[1:] = own[1:] != own[:-1]
+        out.append(own[keep])
+        start = end
+    return out
 
 
-def signature(line: Column) -> Column:
-    """The least hashes of a line's shingles, ascending (array<long>)."""
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?<!\S)(?=(\S.{{0,{BAND_CHARS - 1}}}))"), F.lit(1))
-    hashes = F.sort_array(F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x))))
-    return F.slice(hashes, 1, BANDS)
-
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets are similar. A batch's sets are made once
+    for each line in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "line_u"):
+                both = pa.concat_arrays([part.column("line_u"), part.column("line_v")]).dictionary_encode()
+                sets, at = shingle_sets(both.dictionary.to_pylist()), both.indices.to_numpy()
+                ok = []
+                for u, v in zip(at[:part.num_rows].tolist(), at[part.num_rows:].tolist(), strict=True):
+                    a, b = sets[u], sets[v]
+                    joint = np.sort(np.concatenate((a, b)))
+                    common = int((joint[1:] == joint[:-1]).sum())
+                    ok.append(100 * common >= percent * (len(a) + len(b) - common))
+                yield part.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-def shingles(line: Column) -> Column:
-    """Hashes of all 5-character shingles; a shorter line is its only one."""
-    runs = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{CHARS}}}))"), F.lit(1))
-    short = F.array(F.xxhash64(line))
-    return F.when(F.length(line) < CHARS, short).otherwise(F.array_distinct(F.transform(runs, lambda x: F.xxhash64(x))))
+    both = pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v")
+    return both.select("u", "v", "line_u", "line_v").mapInArrow(run, "u long, v long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
-def _lines(keyed: DataFrame) -> DataFrame:
-    """doc_id, doc_key, pos, line, node of every line that isn't blank. The node
-    is a 64-bit hash of the line without white space at its ends."""
-    rows = keyed.select("doc_id", F.col("_key").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    line = F.regexp_replace("line", r"^\s+|\s+$", "")
-    rows = rows.withColumn("line", F.when(F.col("line").rlike(r"^\s|\s$"), line).otherwise(F.col("line")))
-    return rows.where("line <> ''").withColumn("node", F.xxhash64("line"))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar. Both sets are bound once, in a
-    lambda, for the sizes and the intersection."""
-    def similar(s: Column) -> Column:
-        a, b = F.size(s["a"]), F.size(s["b"])
-        common = F.size(F.array_intersect(s["a"], s["b"]))
-        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * common >= percent * (a + b))
-
-    both = pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v")
-    sets = F.array(F.struct(shingles(F.col("line_u")).alias("a"), shingles(F.col("line_v")).alias("b")))
-    return both.where(F.exists(sets, similar)).select("u", "v")
-
-
 def _rest(buckets: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs of one bucket from different components that share enough bands,
-    each at the least band that they share; dealt by bucket and block."""
-    members = buckets.join(signed, "node").select("key", "node", "component", "bands")
+    each at the least band that they share. A bucket of many members is dealt
+    in blocks: each member is on the left of one and on the right of all."""
+    sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    members = buckets.join(signed, "node").join(sizes, "key")
     left = members.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"),
-                          F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
+                          F.pmod(F.xxhash64("node"), "blocks").alias("block"))
     right = members.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"),
-                           F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     common = F.array_intersect("bu", "bv")
     enough = F.size(common) >= F.least(F.lit(SHARED), F.size("bu"), F.size("bv"))
-    return (left.join(right, (left["key"] == right["key"]) & (left["block"] == right["block"]) & F.expr("u < v and cu <> cv")
-                      & (F.array_min(common) == left["key"]) & enough).select("u", "v"))
+    same = (left["key"] == right["key"]) & (left["block"] == right["block"])
+    return left.join(right, same & F.expr("u < v and cu <> cv") & (F.array_min(common) == left["key"]) & enough).select("u", "v")
 
 
 def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Lines to drop: doc_key (hash of doc_id and text), pos (from 0). The first
     line of each group, by doc_id (null first), then place, stays."""
+    prepare(docs.sparkSession)
+    broadcast = docs.sparkSession.sparkContext.broadcast
     keyed = _keyed(docs)
-    lines = _lines(keyed)
     where = F.struct("doc_id", "doc_key", "pos")
-    # The 8 least hashes travel with the node; texts don't.
-    nodes = materialize(lines.select("node", where.alias("at"), signature(F.col("line")).alias("bands"))
-                        .groupBy("node").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.first("bands").alias("bands")), "lines")
+    nodes = materialize(_lines(keyed, bands=True).groupBy("node").agg(
+        F.min(where).alias("first"), F.count("*").alias("n"), F.first("bands").alias("bands")), "lines")
     keys = nodes.select("node", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = materialize(keys.join(full, "key").withColumn("component", F.col("node")), "buckets")
     wanted = buckets.select("node").distinct()
-    texts = materialize(lines.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line")), "texts")
+    bits = broadcast(bitmap.build(wanted, "node", BITMAP_BITS))  # of a fixed size
+    texts = _lines(keyed, wanted=bits, texts=True).groupBy("node").agg(F.first("line").alias("line"))
+    texts = materialize(texts.join(wanted, "node", "left_semi"), "texts")
     signed = nodes.select("node", "bands")
-    links = found = None
-    for turn in range(HUB_ROUNDS + 1):
-        left = buckets if found is None else unresolved(buckets, found)
-        if left.isEmpty():
-            break
-        order = F.col("node") if turn == 0 else F.xxhash64("node", "key")
-        pairs = hub_pairs(left, order) if turn < HUB_ROUNDS else _rest(left, signed)
-        new = materialize(_verified(pairs, texts, percent), "links")
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            found = union_find(links)
-    placed = nodes.select("node", "first", "n")
-    if found is None:
-        placed = placed.withColumn("component", F.col("node"))
-    else:
-        placed = placed.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # First every member against its bucket's hub; then pairs of different components.
+    links = materialize(_verified(hub_pairs(buckets, F.col("node")), texts, percent), "links")
+    found = union_find(links)
+    left = unresolved(buckets, found)
+    if not left.isEmpty():
+        more = materialize(_verified(_rest(left, signed), texts, percent), "links")
+        if not more.isEmpty():
+            found = union_find(links.union(more))
+    placed = (nodes.select("node", "first", "n").join(found, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
     groups = placed.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1")
     kept = placed.join(groups.select("component", "keep"), "component").select("node", "keep")
-    return (lines.select("node", "doc_key", "pos").join(kept, "node")
+    kept = materialize(kept, "kept")
+    bits = broadcast(bitmap.build(kept, "node", BITMAP_BITS))
+    return (_lines(keyed, wanted=bits).select("node", "doc_key", "pos").join(kept, "node")
             .where((F.col("doc_key") != F.col("keep.doc_key")) | (F.col("pos") != F.col("keep.pos")))
             .select("doc_key", "pos"))
 
