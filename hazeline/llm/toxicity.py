@@ -8,7 +8,7 @@ whose word or prefix is much more frequent among toxic than clean documents.
 Weights are fitted by gradient ascent on the conditional likelihood, whose
 expectations come from the forward-backward recursion. A document's score is a
 logistic function of what the marginals give: the odds that any token is toxic,
-the largest marginal and the expected number of toxic tokens.
+the two largest marginals and the expected number of toxic tokens.
 
 With two tags the recursions need only the ratio of toxic to clean, so they run
 over many documents at once as one array operation per position.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm.common import held_out, prepare, slices, texts
+from hazeline.llm.minhash import shingle_sets, signatures
 from hazeline.llm.sampling import labelled_sample
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -104,11 +105,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def distinct(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The sample without near copies (one of four minima of the 5-word shingles
+    shared with an earlier text of the same label): words of a text that was
+    copied often would otherwise look like words that many toxic texts share."""
+    sets = shingle_sets(pa.array([t for t, _ in sample], pa.string()))
+    minima = iter(signatures([s for s in sets if len(s)], 1, 4).tolist())
+    seen, out = set(), []
+    for (text, y), s in zip(sample, sets, strict=True):
+        if not len(s):
+            continue
+        keys = {(y, i, m) for i, m in enumerate(next(minima))}
+        if not keys & seen:
+            out.append((text, y))
+        seen |= keys
+    return out
+
+
 class ToxicModel:
     """Feature weights, chain and the document-level logistic function."""
 
     def __init__(self, sample: list[tuple[str, int]], steps: int = 40, rate: float = 0.3,
                  least_docs: int = 5, least_ratio: float = 20.0, penalty: float = 0.02):
+        sample = distinct(sample)
+        # The document-level function is fitted on texts that the chain hasn't seen.
+        apart = sample[::3] if len(sample) >= 60 else sample
+        sample = [x for i, x in enumerate(sample) if i % 3] if len(sample) >= 60 else sample
         docs = [TOKEN.findall(t) for t, _ in sample]
         labels = np.array([int(y) for _, y in sample])
         words = sorted(set(chain.from_iterable(docs)))
@@ -137,9 +159,10 @@ class ToxicModel:
         self.bias = float(weights[-1])
         self.weights = {f: float(weights[i]) for f, i in place.items() if abs(weights[i]) > 1e-3}
         self.cache: dict[str, float] = {}
-        self.document = np.array([0.0, 0.5, 0.0, 0.0])
-        gathered = [self._summary(docs[i:i + 500])[0] for i in range(0, len(docs), 500)]
-        self.document = self._logistic(np.vstack(gathered), labels) if gathered else self.document
+        gathered = [self._summary([TOKEN.findall(t) for t, _ in apart[i:i + 500]])[0] for i in range(0, len(apart), 500)]
+        self.document = np.array([-2.0, 0.5, 0.0, 0.0, 0.0])
+        if gathered:
+            self.document = self._logistic(np.vstack(gathered), np.array([int(y) for _, y in apart]))
 
     def _fit(self, weights, row, col, n_words, token, target, packed, steps, rate, penalty) -> None:
         """Adam on the penalised conditional likelihood, all tokens at once."""
@@ -196,7 +219,7 @@ class ToxicModel:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features(word))
 
     def _summary(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Three values a document, and the marginals of all tokens end to end."""
+        """Four values a document, and the marginals of all tokens end to end."""
         new = set().union(*docs) - self.cache.keys()
         if len(self.cache) + len(new) > CACHE_ENTRIES:
             self.cache.clear()
@@ -206,14 +229,20 @@ class ToxicModel:
         total = int(lengths.sum())
         emission = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(docs)), float, total)
         p, odds, _, _ = self.chain.marginals(emission, Packed(lengths))
-        most, mass = np.zeros(len(docs)), np.zeros(len(docs))
+        most, second, mass = np.zeros(len(docs)), np.zeros(len(docs)), np.zeros(len(docs))
         filled = lengths > 0
         if total:
             starts = (np.cumsum(lengths) - lengths)[filled]
             most[filled], mass[filled] = np.maximum.reduceat(p, starts), np.add.reduceat(p, starts)
+            # Without the first place of the largest, the second is the largest.
+            owner = np.repeat(np.arange(len(docs)), lengths)
+            places = np.flatnonzero(p == most[owner])
+            rest = p.copy()
+            rest[places[np.unique(owner[places], return_index=True)[1]]] = 0
+            second[filled] = np.maximum.reduceat(rest, starts)
         odds = np.where(filled, odds, -_LIMIT)
-        top = np.log(np.maximum(most, 1e-9)) - np.log(np.maximum(1 - most, 1e-9))
-        return np.stack([np.clip(odds, -12, 12), np.clip(top, -12, 12), np.log1p(mass)], 1), p, lengths
+        logit = lambda x: np.clip(np.log(np.maximum(x, 1e-9)) - np.log(np.maximum(1 - x, 1e-9)), -12, 12)
+        return np.stack([np.clip(odds, -12, 12), logit(most), logit(second), np.log1p(mass)], 1), p, lengths
 
     def score(self, batch: list[str]) -> tuple[np.ndarray, list[list[dict]]]:
         """Score and toxic spans (code point offsets) of each text."""
