@@ -194,7 +194,11 @@ def _by_array(rows: DataFrame, window: int) -> DataFrame:
         if held:
             yield done()
 
-    ordered = rows.select("key", "doc_id", "doc_key", "start", "n", "bytes").repartition("key").sortWithinPartitions("key")
+    # A fixed number of parts: sorting costs far more than its bytes suggest, so
+    # small parts aren't to be merged.
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    ordered = rows.select("key", "doc_id", "doc_key", "start", "n", "bytes").repartition(parts, "key").sortWithinPartitions("key")
     return ordered.mapInArrow(run, "doc_key long, start int, n int")
 
 
