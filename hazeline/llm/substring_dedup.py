@@ -30,7 +30,7 @@ GRAM = 32
 #: Bits of the bitmaps that tell which anchors repeat and which bytes are wanted.
 BITMAP_BITS = 1 << 27
 #: Classes that one suffix array takes for an anchor; larger groups are split.
-GROUP_CLASSES = 16
+GROUP_CLASSES = 4
 #: Bytes of a suffix array's text, beyond which a task begins another array.
 ARRAY_BYTES = 100_000
 
