@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm import bitmap
@@ -103,7 +103,8 @@ def signatures(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np
 
 def _lines(keyed: DataFrame, bands: bool = False, wanted=None, texts: bool = False) -> DataFrame:
     """doc_id, doc_key, pos, node of every line that isn't blank; with its bands
-    or text if asked for, and only lines whose bit is set in ``wanted``."""
+    or its text and number of shingles if asked for, and only lines whose bit is
+    set in ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, max_bytes=1 << 20):
@@ -123,11 +124,12 @@ def _lines(keyed: DataFrame, bands: bool = False, wanted=None, texts: bool = Fal
                     columns, names = [*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], [*names, "bands"]
                 if texts:
                     cut = [raw[s:e].tobytes().decode() for s, e in zip(start.tolist(), end.tolist(), strict=True)]
-                    columns, names = [*columns, pa.array(cut, pa.string())], [*names, "line"]
+                    sizes = pa.array([len(x) for x in shingle_sets(cut)], pa.int32())
+                    columns, names = [*columns, pa.array(cut, pa.string()), sizes], [*names, "line", "size"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, doc_key long, pos int, node long" + ", bands array<long>" * bands + ", line string" * texts
+    schema = f"doc_id {kind}, doc_key long, pos int, node long" + ", bands array<long>" * bands + ", line string, size int" * texts
     return keyed.select("doc_id", F.col("_key").alias("doc_key"), "text").mapInArrow(run, schema)
 
 
@@ -167,28 +169,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     ok.append(100 * common >= percent * (len(a) + len(b) - common))
                 yield part.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    both = pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v")
+    both = pairs.join(texts.toDF("u", "line_u", "size_u"), "u").join(texts.toDF("v", "line_v", "size_v"), "v")
+    both = both.where(_sizes_fit("size_u", "size_v", percent))
     return both.select("u", "v", "line_u", "line_v").mapInArrow(run, "u long, v long")
 
 
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
-def _rest(buckets: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs of one bucket from different components that share enough bands,
-    each at the least band that they share. A bucket of many members is dealt
+def _rest(buckets: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket from different components that share enough bands and
+    whose sizes allow the similarity, each at the least band that they share. A bucket of many members is dealt
     in blocks: each member is on the left of one and on the right of all."""
     sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     members = buckets.join(signed, "node").join(sizes, "key")
-    left = members.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"),
+    left = members.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"), F.col("size").alias("nu"),
                           F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-    right = members.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"),
+    right = members.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"), F.col("size").alias("nv"),
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     common = F.array_intersect("bu", "bv")
     enough = F.size(common) >= F.least(F.lit(SHARED), F.size("bu"), F.size("bv"))
     same = (left["key"] == right["key"]) & (left["block"] == right["block"])
-    return left.join(right, same & F.expr("u < v and cu <> cv") & (F.array_min(common) == left["key"]) & enough).select("u", "v")
+    fits = F.expr("u < v and cu <> cv") & _sizes_fit("nu", "nv", percent)
+    return left.join(right, same & fits & (F.array_min(common) == left["key"]) & enough).select("u", "v")
 
 
 def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -205,15 +214,15 @@ def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     buckets = materialize(keys.join(full, "key").withColumn("component", F.col("node")), "buckets")
     wanted = buckets.select("node").distinct()
     bits = broadcast(bitmap.build(wanted, "node", BITMAP_BITS))  # of a fixed size
-    texts = _lines(keyed, wanted=bits, texts=True).groupBy("node").agg(F.first("line").alias("line"))
+    texts = _lines(keyed, wanted=bits, texts=True).groupBy("node").agg(F.first("line").alias("line"), F.first("size").alias("size"))
     texts = materialize(texts.join(wanted, "node", "left_semi"), "texts")
-    signed = nodes.select("node", "bands")
+    signed = nodes.select("node", "bands").join(texts.select("node", "size"), "node")
     # First every member against its bucket's hub; then pairs of different components.
     links = materialize(_verified(hub_pairs(buckets, F.col("node")), texts, percent), "links")
     found = union_find(links)
     left = unresolved(buckets, found)
     if not left.isEmpty():
-        more = materialize(_verified(_rest(left, signed), texts, percent), "links")
+        more = materialize(_verified(_rest(left, signed, percent), texts, percent), "links")
         if not more.isEmpty():
             found = union_find(links.union(more))
     placed = (nodes.select("node", "first", "n").join(found, "node", "left")
