@@ -7,10 +7,15 @@ landmark text contains. Landmarks are a part of the training sample; Nyström's
 map turns kernel values against them into features on which one ridge regression
 per language is fitted. A document is scored by two matrix products: presence
 rows times landmark columns, and kernel rows times coefficients.
+
+The best language of a text says nothing about whether it is in any of them:
+the margins of any text sum to about the same. That is told by the share of its
+runs of letters that landmarks hold, against the same share of training rows.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +33,11 @@ _TABLE_BITS = 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Cells of a block of the presence matrix.
 _CELLS = 8 << 20
+#: A text is in no learned language if landmarks hold less than this part of what
+#: they hold of nearly all training rows of its best language.
+KNOWN_PART = 0.6
+#: What a share of n runs is given for chance: this over the root of n.
+KNOWN_SLACK = 0.5
 
 
 def gram_codes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +58,26 @@ def gram_codes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate(owners)
 
 
+def letter_runs(batch: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 to 3 the codes of all runs of n letters (and marks on them) of
+    all texts, and the text that each belongs to."""
+    lower = [t.lower() for t in batch]
+    raw = np.frombuffer("".join(lower).encode("utf-32-le"), np.uint32)
+    doc = np.repeat(np.arange(len(lower), dtype=np.int32), [len(t) for t in lower])
+    kinds, at = np.unique(raw, return_inverse=True)
+    inside = np.array([unicodedata.category(chr(c))[0] in "LM" for c in kinds.tolist()], bool)[at]
+    letters, points = inside, raw.astype(np.uint64) + np.uint64(1)
+    out, grown = [], points
+    for n in NGRAMS:
+        if n > 1:
+            if len(points) < n:
+                break
+            grown = (grown[:len(points) - n + 1] << np.uint64(21)) | points[n - 1:]
+            inside = inside[:-1] & letters[n - 1:] & (doc[:len(grown)] == doc[n - 1:])
+        out.append((grown[inside], doc[:len(grown)][inside]))
+    return out
+
+
 class Grams:
     """Index of the landmark n-grams: a direct table on a multiplicative hash;
     slots that two n-grams share are resolved by binary search."""
@@ -106,6 +136,40 @@ class LanguageModel:
         weights = np.linalg.solve(normal, features.T @ targets)
         self.coefficients = (root @ weights[:-1]).astype(np.float32)
         self.intercept = weights[-1].astype(np.float32)
+        self.least = self._least_known(sample, landmarks, marks.sum(0) > 1)
+
+    def known(self, batch: list[str], held: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Share of each text's runs of three letters that landmarks hold (of
+        shorter ones where it has none), and their number. ``held``: which
+        landmark n-grams count, all by default."""
+        counts = np.append(np.ones(self.grams.size, bool) if held is None else held, False)
+        share, number = np.ones(len(batch)), np.zeros(len(batch), np.int64)
+        for codes, owner in letter_runs(batch):
+            n = np.bincount(owner, minlength=len(batch))
+            hits = np.bincount(owner, counts[self.grams.find(codes)], minlength=len(batch))
+            some = n > 0
+            share[some], number[some] = hits[some] / n[some], n[some]
+        return share, number
+
+    def _least_known(self, sample: list[tuple[str, str]], landmarks: int, twice: np.ndarray) -> np.ndarray:
+        """Per language, the share under which a text is foreign to it: a part of
+        the training rows' first percentile. A landmark's own n-grams count only
+        where another landmark holds them too (``twice``)."""
+        shares: dict[str, list[float]] = {x: [] for x in self.languages}
+        seen = dict.fromkeys(self.languages, 0)
+        for text, lang in sample:
+            seen[lang] += 1
+            share, n = self.known([text], twice if seen[lang] <= landmarks else None)
+            if n[0]:
+                shares[lang].append(share[0])
+        return np.array([KNOWN_PART * np.quantile(shares[x], 0.01) if shares[x] else 0.0 for x in self.languages])
+
+    def foreign(self, batch: list[str], found: list[str]) -> np.ndarray:
+        """Whether each text is outside the language found for it."""
+        share, n = self.known(batch)
+        at = {x: i for i, x in enumerate(self.languages)}
+        least = self.least[[at[x] for x in found]] if found else np.zeros(0)
+        return share + KNOWN_SLACK / np.sqrt(np.maximum(n, 1)) < least
 
     def kernel(self, batch: list[str]) -> np.ndarray:
         """Kernel of each text with each landmark, by blocks of texts."""
@@ -132,10 +196,11 @@ def fit(docs: DataFrame, per_language: int = 300, landmarks: int = 40,
     return LanguageModel(sample, landmarks) if sample else None
 
 
-def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel | None, reject: bool = False) -> DataFrame:
     """Adds lang_pred and score to every row. A text that is null or has no
-    letter is ``und`` with score 0, as is every text if there is no model.
-    Columns already called so are replaced, all others pass through."""
+    letter is ``und`` with score 0, as is every text if there is no model and,
+    if ``reject`` is set, a text outside all learned languages. Columns already
+    called so are replaced, all others pass through."""
     prepare(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     if model is None:
@@ -149,11 +214,14 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         own = shared.value
         for batch in batches:
             for part in slices(batch, max_bytes=1 << 20):
-                letters = part.column("_letter").to_pylist()
-                found, score = own.predict(texts(part.column("text")))
+                letters = part.column("_letter").to_numpy(zero_copy_only=False)
+                batch_texts = texts(part.column("text"))
+                found, score = own.predict(batch_texts)
+                if reject:
+                    letters = letters & ~own.foreign(batch_texts, found)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f) for f in fields),
-                     pa.array([x if ok else UNKNOWN for x, ok in zip(found, letters, strict=True)], pa.string()),
+                     pa.array([x if ok else UNKNOWN for x, ok in zip(found, letters.tolist(), strict=True)], pa.string()),
                      pa.array(np.where(letters, score, 0.0))], names=[*fields, "lang_pred", "score"])
 
     return marked.mapInArrow(run, f"{kept}, lang_pred string, score double")
