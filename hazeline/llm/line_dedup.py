@@ -1,12 +1,11 @@
 """Fuzzy line deduplication by MinHash.
 
-Equal lines are one node, known by a 64-bit hash. A line's signature is the 8
-least hashes of its character runs, each of which is a band: runs of 24 bytes,
-and for lines shorter than 64 bytes runs of 10 (lines of 48 to 63 have both, so
-lines of similar length always share a kind). Lines that share a band are
-candidates; two long lines whose 5-character shingles have a Jaccard similarity
-of 0.8 share none with a probability of about 0.004. A pair is a link if the
-Jaccard similarity of the full sets of shingles is high enough. Components come
+Equal lines are one node, known by a 64-bit hash. A line's bands are 15 keys of
+4 minima each of its set of 5-character shingles, the set that the check
+compares: equal sets share all bands at any length. Lines that share a band are
+candidates; two lines whose sets have a Jaccard similarity of 0.8 share none with
+a probability of 3.7e-4. A pair is a link if the similarity of the full sets is
+high enough. Components come
 from a distributed union-find, and the first line of each stays.
 
 The hashing of lines and the comparison of sets run as numpy over Arrow batches;
@@ -25,12 +24,12 @@ from pyspark.sql import functions as F
 from hazeline.llm import bitmap
 from hazeline.llm.common import byte_view, materialize, mix64, prepare, slices
 from hazeline.llm.hubs import hub_pairs, unresolved
+from hazeline.llm.minhash import band_keys, universal
 from hazeline.llm.union_find import union_find
 from hazeline.llm.wordhash import NOT_SPACE, powers
 
-#: Kinds of runs: their bytes, and the lengths of lines (from, below) that have them.
-RUNS = ((24, 48, 1 << 62), (10, 0, 64))
-BANDS = 8
+#: With these, a pair of similarity 0.8 shares no band with a probability of 3.7e-4.
+BANDS, ROWS = 15, 4
 CHARS = 5
 #: Members of a bucket that one block of the pairwise round holds.
 BLOCK = 1000
@@ -72,33 +71,27 @@ def _sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, inverse
 
 
-def signatures(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bands of lines, line by line, and how many each line has."""
-    lines, hashes = [], []
-    for size, low, high in RUNS:
-        length = end - start
-        own = np.flatnonzero((length >= low) & (length < high))
-        n = np.maximum(length[own] - size + 1, 1)
-        # Of a long line only hashes below a bound are sorted: 64 are expected.
-        bound = np.where(n <= 128, 1.0, 64 / n)
-        line = np.repeat(own, n)
-        at = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)
-        stop = np.minimum(at + size, np.repeat(end[own], n))
-        h = mix64((sums[stop] - sums[at]) * inverse[at] + np.uint64(size))
-        low_enough = (h >> np.uint64(11)) * 2.0 ** -53 < np.repeat(bound, n)
-        line, h = line[low_enough], h[low_enough]
-        order = np.lexsort((h, line))
-        line, h = line[order], h[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-        line, h = line[fresh], h[fresh]
-        first = np.searchsorted(line, line)
-        least = np.arange(len(line)) - first < BANDS
-        lines.append(line[least])
-        hashes.append(h[least])
-    line, h = np.concatenate(lines), np.concatenate(hashes)
-    order = np.argsort(line, kind="stable")
-    return h[order], np.bincount(line, minlength=len(start))
+def signatures(raw: np.ndarray, sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Bands of lines, a row of keys for each: minima of the line's 5-character
+    runs under universal functions. A shorter line is its only run."""
+    if not len(start):
+        return np.zeros((0, BANDS), np.uint64)
+    lead = np.flatnonzero((raw & 0xC0) != 0x80)  # first bytes of characters
+    place = np.append(lead, len(raw))
+    first, last = np.searchsorted(lead, start), np.searchsorted(lead, end)
+    n = np.maximum(last - first - CHARS + 1, 1)
+    begin = np.cumsum(n) - n
+    at = np.arange(n.sum()) + np.repeat(first - begin, n)
+    stop = place[np.minimum(at + CHARS, np.repeat(last, n))]
+    at = place[at]
+    h = mix64((sums[stop] - sums[at]) * inverse[at])
+    a, b = universal(BANDS * ROWS)
+    minima, work = np.empty((len(start), BANDS * ROWS), np.uint32), np.empty_like(h)
+    for i in range(BANDS * ROWS):
+        np.multiply(h, a[i], out=work)
+        work += b[i]
+        minima[:, i] = np.minimum.reduceat(work, begin) >> np.uint64(32)
+    return band_keys(minima, BANDS)
 
 
 def _lines(keyed: DataFrame, bands: bool = False, wanted=None, texts: bool = False) -> DataFrame:
@@ -119,9 +112,9 @@ def _lines(keyed: DataFrame, bands: bool = False, wanted=None, texts: bool = Fal
                            pa.array(pos.astype(np.int32)), pa.array(node.view(np.int64))]
                 names = ["doc_id", "doc_key", "pos", "node"]
                 if bands:
-                    h, n = signatures(sums, inverse, start, end)
-                    ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                    columns, names = [*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], [*names, "bands"]
+                    keys = signatures(raw, sums, inverse, start, end)
+                    ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
+                    columns, names = [*columns, pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64)))], [*names, "bands"]
                 if texts:
                     cut = [raw[s:e].tobytes().decode() for s, e in zip(start.tolist(), end.tolist(), strict=True)]
                     sizes = pa.array([len(x) for x in shingle_sets(cut)], pa.int32())

@@ -2,6 +2,10 @@
 
 import random
 
+import pyarrow as pa
+
+from hazeline.llm import line_dedup
+from hazeline.llm.common import byte_view
 from hazeline.llm.line_dedup import drop_lines
 from hazeline.llm.union_find import union_find
 
@@ -81,3 +85,40 @@ def test_union_find_of_random_graphs(spark):
     found = {r.node: r.component for r in union_find(spark.createDataFrame(links, "u long, v long")).collect()}
     assert found == union(nodes, [e for e in links if e[0] != e[1]])
     assert union_find(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def removed_of_pairs(spark, pairs):
+    """Which of pairs of lines, each pair unlike the others, are found."""
+    rows = [(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)]
+    found = drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = {r.doc_id // 2 for r in found if r.n_removed}
+    return [i in gone for i in range(len(pairs))]
+
+
+def test_short_lines_and_repeated_patterns_meet(spark):
+    pairs = [("Continue", "Continue:"), ("Read more", "Read more."), ("Subscribe", "Subscribe!"), ("-" * 30, "-" * 70),
+             ("=+" * 12, "=+" * 100), ("é" * 6, "é" * 40)]
+    assert all(removed_of_pairs(spark, pairs))
+
+
+def test_share_of_similar_pairs_without_a_band():
+    rng = random.Random(10)
+    missed = total = 0
+    for n in (64, 100, 300):
+        pairs = []
+        for _ in range(700):
+            a = "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(n))
+            b = list(a)
+            for at in rng.sample(range(n), max(1, n // 50)):
+                b[at] = rng.choice("UVWXYZ")
+            pairs.append((a, "".join(b)))
+        lines = [x for p in pairs for x in p]
+        sets = [set(x.tolist()) for x in line_dedup.shingle_sets(lines)]
+        raw, offsets = byte_view(pa.array(lines))
+        sums, inverse = line_dedup._sums(raw)
+        keys = line_dedup.signatures(raw, sums, inverse, offsets[:-1], offsets[1:])
+        for i in range(0, len(lines), 2):
+            if 5 * len(sets[i] & sets[i + 1]) >= 4 * len(sets[i] | sets[i + 1]):
+                total += 1
+                missed += not (keys[i] == keys[i + 1]).any()
+    assert total > 500 and missed <= 2, (missed, total)
