@@ -101,6 +101,15 @@ def test_short_lines_and_repeated_patterns_meet(spark):
     assert all(removed_of_pairs(spark, pairs))
 
 
+def test_long_lines_of_few_shingles_meet(spark):
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(25):
+        one = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60)).replace(" ", "q")
+        pairs.append((one * 400, (one[:30] + "ABCD"[:rng.randint(1, 4)] + one[30:]) + one * 399))
+    assert all(removed_of_pairs(spark, pairs))
+
+
 def test_share_of_similar_pairs_without_a_band():
     rng = random.Random(10)
     missed = total = 0
