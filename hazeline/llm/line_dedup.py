@@ -5,7 +5,8 @@ Equal lines are one node, known by a 64-bit hash. A line's bands are 15 keys of
 compares: equal sets share all bands at any length. Lines that share a band are
 candidates; two lines whose sets have a Jaccard similarity of 0.8 share none with
 a probability of 3.7e-4. A pair is a link if the similarity of the full sets is
-high enough. Components come
+high enough. Every member of a bucket is compared with the bucket's hub, then
+with all members of other components that its size allows. Components come
 from a distributed union-find, and the first line of each stays.
 
 The hashing of lines and the comparison of sets run as numpy over Arrow batches;
@@ -31,11 +32,9 @@ from hazeline.llm.wordhash import NOT_SPACE, powers
 #: With these, a pair of similarity 0.8 shares no band with a probability of 3.7e-4.
 BANDS, ROWS = 15, 4
 CHARS = 5
-#: Members of a bucket that one block of the pairwise round holds.
-BLOCK = 1000
-#: Bands that a pair of the last round has in common: about five of eight are
-#: expected at a similarity of 0.8. Lines with fewer bands need one.
-SHARED = 2
+#: Members of a bucket, and shingles of them, that one block of the pairwise
+#: round holds.
+BLOCK, BLOCK_SHINGLES = 1000, 1 << 20
 #: Bits of the bitmap that tells which lines are wanted.
 BITMAP_BITS = 1 << 24
 
@@ -176,21 +175,89 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
-def _rest(buckets: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket from different components that share enough bands and
-    whose sizes allow the similarity, each at the least band that they share. A bucket of many members is dealt
-    in blocks: each member is on the left of one and on the right of all."""
-    sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = buckets.join(signed, "node").join(sizes, "key")
-    left = members.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"), F.col("size").alias("nu"),
-                          F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-    right = members.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"), F.col("size").alias("nv"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    common = F.array_intersect("bu", "bv")
-    enough = F.size(common) >= F.least(F.lit(SHARED), F.size("bu"), F.size("bv"))
-    same = (left["key"] == right["key"]) & (left["block"] == right["block"])
-    fits = F.expr("u < v and cu <> cv") & _sizes_fit("nu", "nv", percent)
-    return left.join(right, same & fits & (F.array_min(common) == left["key"]) & enough).select("u", "v")
+def cross_links(sets: list[np.ndarray], comps: np.ndarray, held: int, percent: int, within: bool) -> list[tuple[int, int]]:
+    """Links between the first ``held`` sets and later ones (``within``: among
+    the held ones too) of other components. Components that a link joins become
+    one in ``comps``, and pairs inside it aren't compared any more."""
+    out = []
+    if len(sets) < 2 or (comps == comps[0]).all():
+        return out
+    size = np.array([len(x) for x in sets])
+    begin = np.cumsum(size) - size
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(values), bool)
+    for i in range(held):
+        later = i + 1 if within else held
+        fits = 100 * np.minimum(size[later:], size[i]) >= percent * np.maximum(size[later:], size[i])
+        other = later + np.flatnonzero(fits & (comps[later:] != comps[i]))
+        if not len(other):
+            continue
+        own = ids[begin[i]:begin[i] + size[i]]
+        mark[own] = True
+        n = size[other]
+        starts = np.cumsum(n) - n
+        hits = mark[ids[np.arange(n.sum()) + np.repeat(begin[other] - starts, n)]]
+        mark[own] = False
+        common = np.add.reduceat(hits, starts, dtype=np.int64)
+        for j in other[100 * common >= percent * (n + size[i] - common)].tolist():
+            if comps[j] != comps[i]:
+                out.append((i, j))
+                comps[comps == comps[j]] = comps[i]
+    return out
+
+
+def _rest(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one bucket that are in different components;
+    all pairs that sizes allow are compared. A bucket is dealt in blocks: each
+    member is held in its own and goes past those before it, with its text, so
+    texts are moved once a block and not once a pair."""
+    members = buckets.select("key", "node", "component").join(texts, "node")
+    sizes = members.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), "own")))
+    dealt = (dealt.select("key", "block", (F.col("block") < F.col("own")).alias("passing"), "node", "component", "line")
+             .repartition("key", "block").sortWithinPartitions("key", "block", "passing"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: list[int] = []
+        comps, sets, held, n, group = [], [], 0, 0, None
+
+        def done(within: bool) -> pa.RecordBatch:
+            """Compares what is held with what has come, and keeps the former."""
+            nonlocal n
+            now = np.array(comps, np.int64)
+            found = cross_links(sets, now, held, percent, within)
+            links = [(nodes[i], nodes[j]) for i, j in found]
+            comps[:] = now[:held].tolist()
+            del nodes[held:], sets[held:]
+            n = 0
+            u, v = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for part in slices(batch, "line", max_bytes=1 << 20):
+                own = shingle_sets(part.column("line").to_pylist())
+                for key, block, passing, node, comp, x in zip(*(part.column(c).to_pylist() for c in (
+                        "key", "block", "passing", "node", "component")), own, strict=True):
+                    if (key, block) != group:
+                        if group is not None:
+                            yield done(within=not any_passing)
+                        group, held, n, any_passing = (key, block), 0, 0, False
+                        nodes.clear(), comps.clear(), sets.clear()
+                    if passing and not any_passing:
+                        yield done(within=True)
+                        any_passing = True
+                    if n > BLOCK_SHINGLES and passing:
+                        yield done(within=False)
+                    nodes.append(node)
+                    comps.append(comp)
+                    sets.append(x)
+                    n += len(x)
+                    held += not passing
+        if group is not None:
+            yield done(within=not any_passing)
+
+    return dealt.mapInArrow(run, "u long, v long")
 
 
 def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -203,19 +270,21 @@ def line_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     nodes = materialize(_lines(keyed, bands=True).groupBy("node").agg(
         F.min(where).alias("first"), F.count("*").alias("n"), F.first("bands").alias("bands")), "lines")
     keys = nodes.select("node", F.explode("bands").alias("key"))
-    full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialize(keys.join(full, "key").withColumn("component", F.col("node")), "buckets")
     wanted = buckets.select("node").distinct()
     bits = broadcast(bitmap.build(wanted, "node", BITMAP_BITS))  # of a fixed size
     texts = _lines(keyed, wanted=bits, texts=True).groupBy("node").agg(F.first("line").alias("line"), F.first("size").alias("size"))
     texts = materialize(texts.join(wanted, "node", "left_semi"), "texts")
-    signed = nodes.select("node", "bands").join(texts.select("node", "size"), "node")
-    # First every member against its bucket's hub; then pairs of different components.
-    links = materialize(_verified(hub_pairs(buckets, F.col("node")), texts, percent), "links")
+    # First every member against its bucket's hub, the one with most company in
+    # all its buckets; then pairs of different components.
+    company = buckets.groupBy("node").agg(F.sum("n").alias("company"))
+    first = hub_pairs(buckets.join(company, "node"), -F.col("company"))
+    links = materialize(_verified(first, texts, percent), "links")
     found = union_find(links)
     left = unresolved(buckets, found)
     if not left.isEmpty():
-        more = materialize(_verified(_rest(left, signed, percent), texts, percent), "links")
+        more = materialize(_rest(left, texts, percent), "links")
         if not more.isEmpty():
             found = union_find(links.union(more))
     placed = (nodes.select("node", "first", "n").join(found, "node", "left")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from hazeline.llm import line_dedup
@@ -110,6 +111,22 @@ def test_long_lines_of_few_shingles_meet(spark):
     assert all(removed_of_pairs(spark, pairs))
 
 
+def test_pairs_that_only_the_last_round_sees(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for g in range(12):  # copies with changes of their own, up to and beyond the threshold
+        base = [word() for _ in range(30)]
+        for _ in range(12):
+            own = list(base)
+            for at in rng.sample(range(30), rng.randint(0, 4)):
+                own[at] = word()
+            rows.append((len(rows), " ".join(own)))
+    found = {r.doc_id: r.text for r in drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == plain(rows)
+
+
 def test_share_of_similar_pairs_without_a_band():
     rng = random.Random(10)
     missed = total = 0
@@ -131,3 +148,33 @@ def test_share_of_similar_pairs_without_a_band():
                 total += 1
                 missed += not (keys[i] == keys[i + 1]).any()
     assert total > 500 and missed <= 2, (missed, total)
+
+
+def test_one_shared_band_is_enough_behind_a_hub(spark):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+
+    def signed(lines):
+        raw, offsets = byte_view(pa.array(lines))
+        sums, inverse = line_dedup._sums(raw)
+        node = line_dedup.mix64((sums[offsets[1:]] - sums[offsets[:-1]]) * inverse[offsets[:-1]] + np.diff(offsets).astype(np.uint64))
+        return line_dedup.signatures(raw, sums, inverse, offsets[:-1], offsets[1:]), node.view(np.int64)
+
+    triples = []
+    while len(triples) < 5:  # a like b by one band; c, unlike both, is that bucket's hub
+        some = [text(100) for _ in range(500)]
+        lines = [y for x in some for y in (x, x[:33] + "X" + x[34:66] + "Y" + x[67:])]
+        keys, node = signed(lines)
+        for i in range(0, len(lines), 2):
+            shared = np.flatnonzero(keys[i] == keys[i + 1])
+            if len(shared) != 1:
+                continue
+            thirds = [lines[i][:70] + text(40) for _ in range(500)]
+            own, third = signed(thirds)
+            fits = np.flatnonzero((own[:, shared[0]] == keys[i, shared[0]]) & (third < min(node[i], node[i + 1])))
+            if len(fits):
+                triples.append((lines[i], lines[i + 1], thirds[fits[0]]))
+    rows = [(3 * i + k, x) for i, t in enumerate(triples) for k, x in enumerate(t)]
+    found = drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in found if r.n_removed) == [3 * i + 1 for i in range(len(triples))]
