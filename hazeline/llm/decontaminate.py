@@ -14,6 +14,7 @@ coverage: a passage whose parts were reordered keeps its coverage.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,21 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
         if matches and (longest := max(m[2] for m in matches)) > 2 * length:
             length = longest  # skip ahead: long tiles are marked first
             continue
-        for i, j, n in sorted(matches, key=lambda m: (-m[2], m[0], m[1])):
-            if n >= length and not used_item[i:i + n].any() and not used_doc[j:j + n].any():
+        queue = [(-n, i, j) for i, j, n in matches]
+        heapify(queue)
+        while queue:
+            n, i, j = heappop(queue)
+            n = -n
+            used = used_item[i:i + n] | used_doc[j:j + n]
+            if not used.any():
                 used_item[i:i + n] = used_doc[j:j + n] = True
                 found.append((i, j, n))
-        # Matches that a tile has cut into are looked for again at half the length.
+                continue
+            # What a tile has left of a match waits its turn.
+            edges = np.flatnonzero(np.diff(np.concatenate(([True], used, [True])).astype(np.int8))).tolist()
+            for s, e in zip(edges[::2], edges[1::2], strict=True):
+                if e - s >= length:
+                    heappush(queue, (s - e, i + s, j + s))
         length = min_match if min_match < length < 2 * min_match else length // 2
     return found
 

@@ -43,6 +43,21 @@ def test_tiles_cover_as_much_as_the_plain_version():
         assert abs(sum(n for *_, n in found) - sum(plain)) <= 3
 
 
+def test_what_a_tile_leaves_of_a_match_is_marked():
+    rng = random.Random(12)
+    item = np.arange(28, dtype=np.uint64)
+    doc = np.concatenate([item[0:6], [90], item[5:10], [91], item[10:14]]).astype(np.uint64)
+    assert sum(n for *_, n in tiles(item, doc, 4)) == 14
+    for _ in range(200):
+        n = rng.randint(16, 59)
+        a, b = list(range(n)), []
+        while len(b) < 1.5 * n:  # overlapping pieces
+            s = rng.randrange(n - 4)
+            b += a[s:s + rng.randint(4, 7)] + [rng.randrange(100, 140)] * rng.randint(0, 1)
+        found = tiles(np.array(a, np.uint64), np.array(b, np.uint64), 4)
+        assert sorted(n for *_, n in found) == sorted(plain_tiles(a, b, 4))
+
+
 def test_planted_reordered_and_clean(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
