@@ -14,9 +14,27 @@ import numpy as np
 from hazeline.llm.common import mix64
 from hazeline.llm.wordhash import powers
 
+#: Bits of a packed hash that hold a place: grams of a piece.
 _PLACE_BITS = 24
 
 
+def _anchors(grams: np.ndarray, span: int) -> np.ndarray:
+    """Place of the least of every ``span`` neighbouring hashes, in pieces that
+    overlap by span - 1 hashes and whose places fit the packed bits."""
+    out, most = [], 1 << _PLACE_BITS
+    for begin in range(0, len(grams) - span + 1, most - span + 1):
+        piece = grams[begin:begin + most]
+        low = (piece >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | np.arange(len(piece), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:
+            low = np.minimum(low[:-width], low[width:])
+            width *= 2
+        if width < span:
+            low = np.minimum(low[:-(span - width)], low[span - width:])
+        out.append((low & np.uint64(most - 1)).astype(np.int64) + begin)
+    return np.concatenate(out)
+
+
 def stretches(raw: np.ndarray, offsets: np.ndarray, window: int,
               gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts that lie end to end (n + 1 offsets): for each stretch of windows
@@ -32,15 +50,7 @@ def stretches(raw: np.ndarray, offsets: np.ndarray, window: int,
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     m = n - gram + 1
     grams = mix64((sums[gram:] - sums[:m]) * inverse[:m])
-    low = (grams >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | np.arange(m, dtype=np.uint64)
-    span = window - gram + 1  # grams of a window
-    width = 1
-    while 2 * width <= span:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if width < span:
-        low = np.minimum(low[:-(span - width)], low[span - width:])
-    anchor = (low & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    anchor = _anchors(grams, window - gram + 1)
     starts = np.arange(len(anchor))
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(anchor)]
     inside = starts + window <= offsets[1:][text]

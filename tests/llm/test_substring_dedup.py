@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from hazeline.llm import substring_dedup
+from hazeline.llm import anchors, substring_dedup
 from hazeline.llm.substring_dedup import remove_repeats
 from hazeline.llm.suffix_array import suffix_array
 
@@ -71,3 +71,20 @@ def test_repeated_rows_null_ids_and_no_rows(spark, monkeypatch):
     found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_removed) for r in remove_repeats(docs, with_text=True).collect())
     assert found == [(-1, 0), (1, 300), (1, 300), (2, 300)]
     assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_repeats_behind_16_mib(spark):
+    rng = np.random.default_rng(4)
+    text = rng.integers(33, 127, 17_600_000, np.uint8).tobytes().decode()
+    rows = [(1, text), (2, text[9_000_000:9_000_600]), (3, text[17_500_000:17_500_600]),
+            (4, text[(1 << 24) - 300:(1 << 24) + 300])]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in found} == {1: (0, 0), 2: (600, 1), 3: (600, 1), 4: (600, 1)}
+
+
+def test_anchors_by_pieces_are_those_of_every_window(monkeypatch):
+    monkeypatch.setattr(anchors, "_PLACE_BITS", 10)
+    hashes = np.random.default_rng(7).integers(0, 1 << 63, 5000, np.uint64)
+    for n in (69, 1023, 1024, 1025, 5000):
+        plain = [i + int(np.argmin(hashes[i:i + 69] >> np.uint64(10))) for i in range(n - 68)]
+        assert anchors._anchors(hashes[:n], 69).tolist() == plain
