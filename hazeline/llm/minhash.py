@@ -12,6 +12,7 @@ blocks, so no link that joins components is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,12 @@ from hazeline.llm.wordhash import NOT_SPACE, runs, words
 SHINGLE = 5
 #: With these, a pair of similarity 0.85 shares no band with a probability of 1.2e-5.
 BANDS, ROWS = 24, 6
+#: That probability, to which bands and rows are made at any threshold, and the
+#: minima that they may take.
+MISSED, MINIMA = 1.2e-5, 150
 #: Signature check: a pair goes if its share of equal minima is this far below
-#: the threshold (five standard deviations of the estimate at 0.85).
+#: the threshold (five standard deviations of the estimate at 0.85), or further
+#: where five standard deviations are more.
 SLACK = 0.16
 #: Parts that a bucket's members are dealt to in the last, pairwise round.
 BLOCKS = 8
@@ -63,6 +68,18 @@ def universal(n: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
             rng.integers(0, 1 << 63, n, np.uint64))
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows at a threshold: the most rows, up to ROWS, with which a
+    pair of that similarity shares no band with a probability of MISSED at most
+    and that take MINIMA minima at most. (24, 6) at 85, (29, 5) at 80."""
+    similarity = min(max(percent, 1), 99) / 100
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISSED) / math.log1p(-similarity ** rows))
+        if bands * rows <= MINIMA:
+            break
+    return bands, rows
+
+
 def signatures(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Minima of every non-empty set under bands * rows universal functions, one
     row a set (uint32)."""
@@ -89,7 +106,7 @@ def band_keys(minima: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set_a, set_b (128 bits that stand for the set), bands
     (array<long>), signature (one byte of each minimum); the last two are null
     for empty sets."""
@@ -98,17 +115,17 @@ def signed(docs: DataFrame) -> DataFrame:
             for part in slices(batch, max_bytes=1 << 20):
                 sets = shingle_sets(part.column("text"))
                 filled = np.array([len(s) > 0 for s in sets], bool)
-                minima = signatures([s for s in sets if len(s)])
-                keys = band_keys(minima).view(np.int64)
+                minima = signatures([s for s in sets if len(s)], bands, rows)
+                keys = band_keys(minima, bands).view(np.int64)
                 low = (minima & np.uint32(255)).astype(np.uint8)
                 place = np.cumsum(filled) - 1
-                bands = [keys[p] if ok else None for p, ok in zip(place, filled, strict=True)]
+                own = [keys[p] if ok else None for p, ok in zip(place, filled, strict=True)]
                 short = [low[p].tobytes() if ok else None for p, ok in zip(place, filled, strict=True)]
                 one = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
                 two = [int(mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()),
-                     pa.array(two, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())],
+                     pa.array(two, pa.int64()), pa.array(own, pa.list_(pa.int64())), pa.array(short, pa.binary())],
                     names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"])
 
     schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
@@ -149,9 +166,12 @@ def _similar(percent: int):
 
 
 def _near(percent: int):
+    similarity, minima = percent / 100, math.prod(banding(percent))
+    least = similarity - max(SLACK, 5 * math.sqrt(similarity * (1 - similarity) / minima))
+
     def decide(x, y) -> bool:
         a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-        return (a == b).mean() >= percent / 100 - SLACK
+        return (a == b).mean() >= least
     return decide
 
 
@@ -178,7 +198,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     kept. No row in, no row out; other columns aren't read.
     """
     prepare(docs.sparkSession)
-    every = materialize(signed(docs), "signed")
+    every = materialize(signed(docs, *banding(percent)), "signed")
     # One node for each distinct set: its least id. The minimum is combined before the shuffle.
     same = every.where("n_shingles > 0 and doc_id is not null")
     classes = materialize(same.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")

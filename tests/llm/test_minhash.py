@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from hazeline.llm.components import components
-from hazeline.llm.minhash import near_duplicates, shingle_sets
+from hazeline.llm.minhash import band_keys, banding, near_duplicates, shingle_sets, signatures
 
 
 def union(nodes, links):
@@ -85,3 +88,23 @@ def test_shingles_of_words_apart_from_their_place():
     import pyarrow as pa
     a, b = shingle_sets(pa.array(["q w e r t y", "zz q w e r t"]))
     assert len(a) == 2 and len(b) == 2 and len(set(a.tolist()) & set(b.tolist())) == 1
+
+
+def test_pairs_at_a_lower_threshold_share_a_band(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for _ in range(8000):  # two words of 94 changed: 80 of 100 shingles are common
+        own = [word() for _ in range(94)]
+        texts += [" ".join(own), " ".join([*own[:30], word(), *own[31:60], word(), *own[61:]])]
+    sets = shingle_sets(pa.array(texts))
+    first = band_keys(signatures(sets, 24, 6), 24)
+    missed = np.flatnonzero(~(first[::2] == first[1::2]).any(1)).tolist()
+    assert len(missed) > 1
+    rows = [(2 * i + k, texts[2 * i + k]) for i in missed for k in (0, 1)]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
+    assert sorted(r.doc_id for r in found if not r.kept) == [2 * i + 1 for i in missed]
+    for percent in (50, 80, 85, 90, 99):
+        bands, size = banding(percent)
+        assert (1 - (percent / 100) ** size) ** bands <= 1.2e-5
+    assert banding(85) == (24, 6)
