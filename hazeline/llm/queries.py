@@ -145,3 +145,124 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_lines(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
     return kept.select("doc_id", "n_lines", "n_removed", F.length(text).alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"))
+
+
+@query
+def op11_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of each group of equal texts stays."""
+    from hazeline.llm.chunk_dedup import exact_duplicates
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: The same groups from the texts themselves.
+ORACLE["op11_chunk_recipes"] = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS plain FROM documents),
+r AS (
+  SELECT doc_id, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
+    count(*) OVER (PARTITION BY plain) AS group_size, plain
+  FROM d WINDOW w AS (PARTITION BY plain ORDER BY n DESC, doc_id))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(plain) AS text_sha256 FROM r
+"""
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, with their errors and a digest of the codebooks."""
+    from pyspark.sql import functions as F
+
+    from hazeline.llm.vector_codes import compress, digest
+    codes, codebooks = compress(table(spark, sf_dir, "embeddings"))
+    sha = F.lit(None if codebooks is None else digest(codebooks)).cast("string")
+    return codes.select("vec_id", "code", "error", "label_error", sha.alias("codebooks_sha256"))
+
+
+def _usable(vector: str) -> str:
+    return f"{vector} IS NOT NULL AND len(list_filter({vector}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """Parts against every entry of their codebook, round by round."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, part, any_value(v) AS v, min(d) AS d, arg_min(entry, d * 64 + entry) AS entry FROM (
+    SELECT p.vec_id, p.part, p.v, b.entry,
+      list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM p JOIN b{i} b USING (part)) GROUP BY vec_id, part)"""
+
+    def refined(i: int) -> str:
+        return f"""b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(u.v, b.v) AS v FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list(m ORDER BY k) AS v FROM (
+      SELECT part, entry, k, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS m
+      FROM (SELECT part, entry, unnest(range(len(v))) AS k, unnest(v) AS x FROM a{i}) GROUP BY part, entry, k)
+    GROUP BY part, entry) u USING (part, entry))"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{refined(i)}" for i in range(rounds))
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+    row_number() OVER (ORDER BY vec_id) - 1 AS entry
+  FROM embeddings WHERE {_usable("embedding")}),
+p AS MATERIALIZED (
+  SELECT vec_id, entry, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS v
+  FROM e, (SELECT unnest(range(16)) AS part)),
+b0 AS (SELECT part, entry, v FROM p WHERE entry < 64),
+{steps},
+{assigned(rounds)},
+c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM a{rounds} GROUP BY vec_id),
+s AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, k)) AS sha
+  FROM (SELECT part, entry, unnest(range(len(v))) AS k, unnest(v) AS x FROM b{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha AS codebooks_sha256
+FROM c JOIN e USING (vec_id), s
+"""
+
+
+ORACLE["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors, with their inertias and centroid digests."""
+    from hazeline.llm.bisectors import clusters
+    return clusters(table(spark, sf_dir, "embeddings"))[0]
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """Every distance, round by round."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(v) AS v, min(d) AS d, arg_min(c, d * 8 + c) AS c FROM (
+    SELECT e.vec_id, e.v, c{i}.c,
+      list_sum(list_transform(list_zip(e.v, c{i}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM e, c{i}) GROUP BY vec_id)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(u.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(m ORDER BY k) AS v FROM (
+      SELECT c, k, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS m
+      FROM (SELECT c, unnest(range(len(v))) AS k, unnest(v) AS x FROM a{i}) GROUP BY c, k)
+    GROUP BY c) u USING (c))"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(rounds))
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE {_usable("embedding")} AND len(embedding) = 64),
+c0 AS MATERIALIZED (
+  SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM e
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id)) <= 8),
+{steps},
+{assigned(rounds)},
+s AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY k)) AS sha
+  FROM (SELECT c, unnest(range(len(v))) AS k, unnest(v) AS x FROM c{rounds}) GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha AS centroid_sha256
+FROM a{rounds} JOIN s USING (c)
+"""
+
+
+ORACLE["op13_bisector_clusters"] = _clusters_sql()
