@@ -39,3 +39,25 @@ def dmy_to_date(c: Column | str, fmt: str = DMY_FORMAT) -> Column:
 def dmy_to_iso(c: Column | str, fmt: str = DMY_FORMAT) -> Column:
     """``dd/MM/yyyy`` text to ``yyyy-MM-dd`` text, one built-in per row."""
     return F.date_format(dmy_to_date(c, fmt), "yyyy-MM-dd")
+
+
+#: Kinds of columns that :func:`ticks` takes.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def ticks(c: Column | str, kind: str) -> Column:
+    """A time as a whole number that grows with it: microseconds of a timestamp,
+    days of a date, the value of an integer. ``kind`` is the column's type name.
+    A timestamp without a zone is taken by its own clock, so the session's zone
+    and its clock changes don't matter."""
+    c = _c(c)
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind == "timestamp_ntz":
+        seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    if kind == "date":
+        return F.unix_date(c).cast("long")
+    if kind in _WHOLE:
+        return c.cast("long")
+    raise ValueError(f"no whole number for a column of type {kind}")

@@ -27,5 +27,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (each registers on import)."""
-    from hazeline.plans import (q_aggregates, q_clean, q_joins, q_ml,  # noqa: F401
-                                q_projections, q_scans, q_stats, q_streams)
+    from hazeline.plans import (q_aggregates, q_clean, q_groups, q_joins, q_ml,  # noqa: F401
+                                q_projections, q_scans, q_stats, q_streams, q_windows)

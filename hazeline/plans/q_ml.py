@@ -43,24 +43,62 @@ def _fit(spark, sf_dir):
     return ml.fit_linear(train, FEATURES, LABEL), test
 
 
-@register("linear_fit")
+def _fit_sql() -> list[str]:
+    """The least squares of several features by simple regressions: each feature
+    is cleared of those before it (q), the label's slopes on what is left (g) give
+    the coefficients (b) from the last one back."""
+    n = len(FEATURES)
+    r = lambda i, j: f"r{i}{j}"  # noqa: E731 - slope of feature j on q of feature i
+    ctes = [f"""parts AS (SELECT reading_id, "{LABEL}" AS y, {", ".join(f'"{c}" AS x{j}' for j, c in enumerate(FEATURES))}, {_SPLIT_SQL} AS part FROM silver)""",
+            f"""t0 AS (SELECT *, x0 AS q0 FROM parts WHERE part = 'train' AND y IS NOT NULL AND {" AND ".join(f"x{j} IS NOT NULL" for j in range(n))})"""]
+    for i in range(n):
+        slopes = [f"regr_slope(y, q{i}) AS g{i}", *(f"regr_slope(x{j}, q{i}) AS {r(i, j)}" for j in range(i + 1, n))]
+        ctes.append(f"s{i} AS (SELECT {', '.join(slopes)} FROM t{i})")
+        if i + 1 < n:
+            cleared = " - ".join([f"x{i + 1}", *(f"{r(k, i + 1)} * q{k}" for k in range(i + 1))])
+            ctes.append(f"t{i + 1} AS (SELECT t{i}.*, {cleared} AS q{i + 1} FROM t{i}, {', '.join(f's{k}' for k in range(i + 1))})")
+    for i in reversed(range(n)):
+        solved = " - ".join([f"g{i}", *(f"{r(i, j)} * b{j}" for j in range(i + 1, n))])
+        tables = f"b{i + 1}, s{i}" if i + 1 < n else f"s{i}"
+        ctes.append(f"b{i} AS (SELECT {', '.join([*(f'b{j}' for j in range(i + 1, n)), f'{solved} AS b{i}'])} FROM {tables})")
+    whole = " - ".join(["avg(y)", *(f"avg(x{j}) * any_value(b{j})" for j in range(n))])
+    ctes.append(f"fit AS (SELECT {', '.join(f'any_value(b{j}) AS b{j}' for j in range(n))}, {whole} AS b FROM t0, b0)")
+    told = " + ".join(["b", *(f"b{j} * x{j}" for j in range(n))])
+    ctes.append(f"scored AS (SELECT reading_id, part, y, {told} AS p FROM parts, fit WHERE {' AND '.join(f'x{j} IS NOT NULL' for j in range(n))})")
+    return ctes
+
+
+_FIT = _fit_sql()
+_R2 = "1 - avg((y - p) * (y - p)) / var_pop(y)"
+
+
+@register("linear_fit", with_(BASE + _FIT, " UNION ALL ".join(
+    [f"SELECT '{c}' AS term, {rounded(f'b{j}', 3)} AS coefficient FROM fit" for j, c in enumerate(FEATURES)]
+    + [f"SELECT 'intercept', {rounded('b', 3)} FROM fit"])))
 def linear_fit(spark, sf_dir):
     """Coefficients and intercept of PM25 ~ SO2 + CO + PM10 + NO2 fitted on
     the training part."""
     model, _ = _fit(spark, sf_dir)
-    return ml.coefficients(model, FEATURES, spark)
+    return ml.coefficients(model, FEATURES, spark).withColumn("coefficient", safe.rounded("coefficient", 3))
 
 
-@register("linear_r2")
+@register("linear_r2", with_(BASE + _FIT, f"""
+SELECT {rounded(_R2)} AS r2, {rounded("sqrt(avg((y - p) * (y - p)))", 3)} AS rmse, count(*) AS n
+FROM scored WHERE part = 'train' AND y IS NOT NULL"""))
 def linear_r2(spark, sf_dir):
     """Training R2, RMSE and row count of the fit."""
     model, _ = _fit(spark, sf_dir)
     s = model.summary
-    return spark.createDataFrame([(float(s.r2), float(s.rootMeanSquaredError), int(s.numInstances))],
-                                 "r2 double, rmse double, n long")
+    out = spark.createDataFrame([(float(s.r2), float(s.rootMeanSquaredError), int(s.numInstances))],
+                                "r2 double, rmse double, n long")
+    return out.withColumns({"r2": safe.rounded("r2"), "rmse": safe.rounded("rmse", 3)})
 
 
-@register("linear_predict")
+@register("linear_predict", with_(BASE + _FIT, f"""
+SELECT reading_id, y AS "{LABEL}", {rounded("p", 1)} AS prediction,
+  (SELECT {rounded("sqrt(avg((y - p) * (y - p)))", 3)} FROM scored WHERE part = 'test') AS test_rmse,
+  (SELECT {rounded(_R2)} FROM scored WHERE part = 'test') AS test_r2
+FROM scored WHERE part = 'test'"""))
 def linear_predict(spark, sf_dir):
     """Predictions on the held-out part (the reference scored rows it had
     fitted on; here the test part is never seen by the fit), with the
@@ -68,7 +106,9 @@ def linear_predict(spark, sf_dir):
     model, test = _fit(spark, sf_dir)
     pred = ml.predict(model, test, FEATURES, LABEL, ["reading_id"])
     m = ml.regression_metrics(pred, LABEL)
-    return pred.withColumn("test_rmse", F.lit(m["rmse"])).withColumn("test_r2", F.lit(m["r2"]))
+    told = {k: F.lit(m[k]).cast("double") for k in ("rmse", "r2")}
+    return pred.withColumns({"prediction": safe.rounded("prediction", 1), "test_rmse": safe.rounded(told["rmse"], 3),
+                             "test_r2": safe.rounded(told["r2"])})
 
 
 # One feature: the fit that SQL has as aggregates.

@@ -247,10 +247,11 @@ def reformat_dmy(spark, sf_dir):
 
 
 @register("date_parts", with_([_BIKE], """
-SELECT "Date", CAST(strptime("Date", '%d/%m/%Y') AS DATE) AS date,
+SELECT "Date", CAST(strptime("Date", '%d/%m/%Y') AS DATE) AS day,
   CAST(year(strptime("Date", '%d/%m/%Y')) AS INTEGER) AS year,
   CAST(month(strptime("Date", '%d/%m/%Y')) AS INTEGER) AS month FROM bike"""))
 def date_parts(spark, sf_dir):
+    # Not "date": Spark takes that for the name of the text column.
     d = dmy_to_date("Date")
-    return bike_days(spark, sf_dir).select("Date", d.alias("date"), F.year(d).alias("year"),
+    return bike_days(spark, sf_dir).select("Date", d.alias("day"), F.year(d).alias("year"),
                                            F.month(d).alias("month"))

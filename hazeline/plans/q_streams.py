@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from hazeline.plans.catalog import register
 from hazeline.schemas import FLAT_FIELDS, FORECAST_FIELDS, IAQI_KEYS
 from hazeline.sources import adapter, files, fs, landing
-from hazeline.sources.tables import table_path
+from hazeline.plans.q_windows import session_sql, total
+from hazeline.sources.tables import table, table_path
+from hazeline.streaming import events as ev
 from hazeline.streaming import snapshots as snap
 
 
@@ -95,3 +97,56 @@ def stream_snapshot_latest(spark, sf_dir):
     snap.stream_latest(spark, snapshot_dir(spark, sf_dir), f"{run}/out", f"{run}/checkpoint")
     return snap.read_stream_result(spark, f"{run}/out")
 
+
+#: Files arrive in so many steps of time; a tenth of the rows comes a step late.
+ARRIVALS = 6
+
+
+def _event_files(spark, sf_dir) -> tuple[str, int]:
+    """Folder of event files, written in order of arrival, and how many seconds
+    late a row may come. The last file closes the streams over it."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    first, last = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    step = ((last or 0) - (first or 0)) // ARRIVALS + 1
+
+    def build(p):
+        late = (F.col("event_id") % 10 == 0).cast("int")
+        arrival = F.floor((F.unix_seconds("ts") - F.lit(first or 0)) / step) + late
+        for i in range(ARRIVALS + 1):
+            events.where(arrival == i).write.mode("append").parquet(p)
+        ev.closing(events, "ts", 4 * step + 86_400, by=["event_type"], keys=["user_id"]).write.mode("append").parquet(p)
+    return landing.derived(spark, sf_dir, "event_files", build), 2 * step
+
+
+def _event_stream(spark, path):
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "4").parquet(path)
+
+
+@register("stream_event_sessions", session_sql("user_id", 7200))
+def stream_event_sessions(spark, sf_dir):
+    """The sessions of each user's events, from event files as a stream with
+    late rows."""
+    path, late = _event_files(spark, sf_dir)
+    run = landing.fresh(spark, "stream_sessions")
+    ev.stream_sessions(_event_stream(spark, path), ["user_id"], "ts", 7200, f"{late} seconds", f"{run}/out", f"{run}/checkpoint", total())
+    out = spark.read.parquet(f"{run}/out")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+@register("stream_view_purchase", """
+SELECT v.event_id, v.user_id, v.ts, p.event_id AS purchase_id, p.value AS purchase_value
+FROM (FROM events WHERE event_type = 'view') v LEFT JOIN (FROM events WHERE event_type = 'purchase') p
+ON v.user_id = p.user_id AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 6 HOUR""")
+def stream_view_purchase(spark, sf_dir):
+    """Views with the purchases of their user within six hours, from two streams;
+    views without one come once."""
+    path, late = _event_files(spark, sf_dir)
+    run = landing.fresh(spark, "stream_match")
+    views = _event_stream(spark, path).where("event_type = 'view'").select("event_id", "user_id", "ts")
+    bought = _event_stream(spark, path).where("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"), "user_id", "ts", F.col("value").alias("purchase_value"))
+    ev.stream_match(views, bought, ["user_id"], "ts", "ts", 6 * 3600, f"{late} seconds", ["purchase_id", "purchase_value"],
+                    f"{run}/out", f"{run}/checkpoint")
+    out = spark.read.parquet(f"{run}/out").where("event_id is not null")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins and coalesces shuffle
 # partitions from runtime sizes, splits skewed join partitions, and the
@@ -88,3 +89,11 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(scratch_dir(spark), "hazeline", *parts)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The table written to the shared folder and read back: lineage is cut, and
+    what isn't determined by the input (a deal of rows) is fixed."""
+    path = scratch_path(df.sparkSession, "tables", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -53,6 +53,12 @@ def size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """True if a folder holds anything but hidden files (names with _ or .)."""
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p) and any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(p))
+
+
 def publish(spark: SparkSession, marker: str, text: str, replace: bool = False) -> None:
     """Writes a small marker file. Without ``replace`` an existing one stays: of
     several writers the first wins, and all read its text afterwards."""

@@ -48,7 +48,7 @@ def _code_version() -> str:
 _SHAPING_MODULES = ["sources/adapter.py", "sources/files.py", "plans/readings.py",
                     "functions/safe.py", "functions/dates.py", "functions/address.py",
                     "operators/filters.py", "operators/quantiles.py", "operators/aggregates.py",
-                    "streaming/snapshots.py", "pipelines.py", "schemas.py"]
+                    "streaming/snapshots.py", "streaming/events.py", "plans/q_streams.py", "pipelines.py", "schemas.py"]
 
 
 def _key(spark: SparkSession, sf_dir: str, inputs: list[str]) -> str:

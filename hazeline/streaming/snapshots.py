@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.operators.joins import sized_broadcast
 from hazeline.schemas import FLAT_FIELDS, FORECAST_KEYS, IAQI_KEYS, snapshot_schema
 from hazeline.session import scratch_path
+from hazeline.sources import fs
 
 _OUT = ["aqi", "dominentpol", "obs_local", "sync", *IAQI_KEYS]
 
@@ -84,26 +84,69 @@ def rejects(flat: DataFrame) -> DataFrame:
                     F.count_if(F.col("sync_ts").isNull()).alias("no_sync"))
 
 
+#: Names the merged dates that are being put in place, while they are.
+_PENDING = "_merging"
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """A merged table, its date as text; files that were written before a column
+    was known have nulls in it."""
+    out = spark.read.option("mergeSchema", "true").parquet(path)
+    return out.withColumns({c: F.col(c).cast("string") for c, kind in out.dtypes if kind == "date"})
+
+
+def _install(spark: SparkSession, path: str, staged: str, date: str) -> None:
+    """Puts the staged dates in place of the table's own; may be repeated."""
+    rows = spark.read.parquet(staged)
+    (rows.hint("rebalance", date).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path))
+    fs.publish(spark, f"{path}/{_PENDING}", "", replace=True)
+
+
+def recover(spark: SparkSession, path: str, date: str = "date") -> bool:
+    """Finishes a merge whose driver was lost between the first date taken away
+    and the last one written: its rows are all in the staged table. True if there
+    was one. Every merge begins with this."""
+    staged = fs.read_marker(spark, f"{path}/{_PENDING}")
+    if staged:
+        _install(spark, path, staged, date)
+    return bool(staged)
+
+
+def _with_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of both, those that df lacks as nulls."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in like.schema.fields if f.name not in df.columns})
+
+
 def merge_latest(rows: DataFrame, path: str, keys: list[str], date: str = "date") -> None:
     """Merges rows into a table of the latest revision per key, one folder per
     ``date`` (one of the keys): the dates that occur are read, merged and
     written again, others stay. A key that isn't in ``rows`` keeps its row and
     an older revision never replaces a newer one, so the result doesn't depend
-    on the order or repetition of merges. The merged dates are written to the
-    shared scratch folder first: a table can't be read while it is replaced."""
+    on the order or repetition of merges. A column that only the table or only the
+    rows have is kept, null where it wasn't known. A table that can't be read is
+    an error, never taken for an empty one.
+
+    The merged dates are written to the shared scratch folder first, and a marker
+    names them before the table is touched: if the driver is lost while dates are
+    replaced, the next merge puts them in place (:func:`recover`). One merge into
+    a table runs at a time."""
     spark = rows.sparkSession
+    recover(spark, path, date)
     rows = latest(rows, keys)
-    try:
-        known = spark.read.parquet(path).select(*(F.col(f.name).cast(f.dataType) for f in rows.schema.fields))
-    except AnalysisException:
-        known = None  # nothing there yet
-    if known is not None:
-        dates = rows.select(date).distinct()
-        rows = latest(rows.unionByName(known.join(sized_broadcast(dates), date, "left_semi")), keys)
+    if fs.has_data(spark, path):
+        kinds = {f.name: f.dataType for f in rows.schema.fields}
+        known = read_merged(spark, path)
+        known = known.select(*(F.col(c).cast(kinds.get(c, known.schema[c].dataType)).alias(c) for c in known.columns))
+        # A null date has a folder, too.
+        dates = rows.select(F.col(date).alias("_date")).distinct()
+        known = known.join(sized_broadcast(dates), F.col(date).eqNullSafe(F.col("_date")), "left_semi")
+        rows, known = _with_columns(rows, known), _with_columns(known, rows)
+        rows = latest(rows.unionByName(known), keys, [c for c in rows.columns if c not in keys])
     staged = scratch_path(spark, "merges", uuid.uuid4().hex)
     rows.hint("rebalance", date).write.parquet(staged)
-    (spark.read.schema(rows.schema).parquet(staged).hint("rebalance", date).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path))
+    fs.publish(spark, f"{path}/{_PENDING}", staged, replace=True)
+    _install(spark, path, staged, date)
 
 
 def write_daily_latest(flat: DataFrame, path: str) -> None:
@@ -144,4 +187,4 @@ def stream_latest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
 
 def read_stream_result(spark: SparkSession, out_dir: str) -> DataFrame:
     """The latest revision of every (station, window)."""
-    return spark.read.parquet(out_dir).select("idx", "window_epoch", *_OUT)
+    return read_merged(spark, out_dir).select("idx", "window_epoch", *_OUT)
