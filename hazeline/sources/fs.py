@@ -85,3 +85,9 @@ def read_marker(spark: SparkSession, marker: str) -> str | None:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all that it holds, if it is there."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
