@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.session import scratch_path
+from hazeline.sources import fs
 
 #: Text bytes that a task works on at a time: what a numpy pass holds in memory
 #: is a small multiple of this, whatever the size of an Arrow batch.
@@ -43,7 +44,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes materialized tables that no later step reads."""
+    for t in tables:
+        fs.remove(t.sparkSession, t.scratch_folder)
 
 
 def shared(spark: SparkSession, path: str) -> str:

@@ -141,7 +141,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and what is left of every document without its repeated lines."""
     from pyspark.sql import functions as F
 
-    from hazeline.llm.line_dedup import drop_lines
+    from hazeline.llm.fuzzy_lines import drop_lines
     kept = drop_lines(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
     return kept.select("doc_id", "n_lines", "n_removed", F.length(text).alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"))
