@@ -2,7 +2,8 @@
 
 Prefix sums of turn tokens, taken inside blocks of turns on top of the sums of
 the blocks before, place every turn in one window: the one whose stretch of
-tokens holds the turn's start. A window is made of the system turn, a limited
+tokens holds the turn's start. A stretch is the window's room without the longest
+turn of the conversation, which may start at its very end. A window is made of the system turn, a limited
 history of turns from the window before, and its own turns; only the assistant
 texts among its own turns are under the loss mask, so each is a target once.
 
@@ -37,10 +38,18 @@ def unescaped(text: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """Words of a text and the turn's markers: what the budget counts."""
+    """Words of a text and the turn's markers: what the budget counts unless a
+    column of sizes is named. Only a rough measure of texts with spaces."""
     return (F.regexp_count(text, F.lit(r"\S+")) + TURN_TOKENS).cast("long")
 
 
+def turn_bytes(role: Column, text: Column) -> Column:
+    """UTF-8 bytes of a turn as formatted: no byte-level tokenizer makes more
+    tokens of it, in any script."""
+    plain = F.concat(escaped_role(F.coalesce(role, F.lit(""))), escaped(F.coalesce(text, F.lit(""))))
+    return (F.octet_length(plain) + len(START) + len("\n") + len(END)).cast("long")
+
+
 def _placed(turns: DataFrame) -> DataFrame:
     """Adds seq (from 1) and start (tokens of the turns before) by conversation."""
     block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62)))
@@ -58,7 +67,7 @@ def _placed(turns: DataFrame) -> DataFrame:
             .select("conv_id", "seq", "start", "tokens", "role", "text"))
 
 
-def windows(conversations: DataFrame, budget: int = 2048, history: int = 256) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = 2048, history: int = 256, size: str | None = None) -> DataFrame:
     """One row per window: conv_id, window, formatted, loss_spans (array of
     start and length in characters of ``formatted``), own_from (where its own
     turns begin), n_turns and n_tokens of all its turns, over_budget.
@@ -67,22 +76,23 @@ def windows(conversations: DataFrame, budget: int = 2048, history: int = 256) ->
     Null texts and roles are empty. Turns are ordered by turn (null first), then
     role and text; repeated rows are turns of their own. A null conv_id is one
     conversation. The first turn with role ``system`` begins every window after
-    its own. A window's own turns hold at most budget - system - history tokens
-    unless one turn alone is longer than half of that: turns are never cut, and
-    over_budget marks such windows. No row in, no row out.
+    its own. ``size`` names a column with each turn's tokens (of a tokenizer, or
+    :func:`turn_bytes`); null counts as 0. A window's own turns hold at most budget
+    - system - history tokens unless one turn alone is longer than half of that:
+    turns are never cut, and over_budget marks such windows. No row in, no row out.
     """
     turns = conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"))
-    turns = _placed(turns.withColumn("tokens", turn_tokens(F.col("text"))))
-    first = F.min(F.struct("seq", "text", "tokens"))
-    system = (turns.where("role = 'system'").groupBy("conv_id").agg(first.alias("sys"))
-              .select(F.col("conv_id").alias("k"), "sys"))
-    t = turns.join(system, F.col("conv_id").eqNullSafe(F.col("k")), "left").drop("k")
-    # A stretch holds the starts of a window's own turns; with turns no longer
-    # than a stretch, two stretches hold the turns themselves.
+        F.coalesce("text", F.lit("")).alias("text"),
+        (F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0)) if size else turn_tokens(F.coalesce("text", F.lit("")))).alias("tokens"))
+    turns = _placed(turns)
+    first = F.min(F.when(F.col("role") == "system", F.struct("seq", "text", "tokens")))
+    known = turns.groupBy(F.col("conv_id").alias("k")).agg(first.alias("sys"), F.max("tokens").alias("longest"))
+    t = turns.join(known, F.col("conv_id").eqNullSafe(F.col("k"))).drop("k")
+    # A stretch holds the starts of a window's own turns: the last of them goes
+    # beyond it by its length at most.
     room = F.lit(budget - history) - F.coalesce(F.col("sys.tokens"), F.lit(0))
-    t = t.withColumn("stretch", F.greatest(F.floor(room / 2), F.lit(1)))
+    t = t.withColumn("stretch", F.greatest(room - F.least(F.col("longest"), F.floor(room / 2)), F.lit(1)))
     t = t.withColumn("at", F.floor(F.col("start") / F.col("stretch")))
     # A turn belongs to its window and may be history of the next: no farther,
     # as the history is no longer than a stretch.

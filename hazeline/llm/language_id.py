@@ -207,14 +207,17 @@ def identify(docs: DataFrame, model: LanguageModel | None, reject: bool = False)
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's parameters
     fields = docs.schema.fieldNames()
-    marked = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    letter = "_letter"
+    while letter in fields:
+        letter += "_"
+    marked = docs.withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             for part in slices(batch, max_bytes=1 << 20):
-                letters = part.column("_letter").to_numpy(zero_copy_only=False)
+                letters = part.column(letter).to_numpy(zero_copy_only=False)
                 batch_texts = texts(part.column("text"))
                 found, score = own.predict(batch_texts)
                 if reject:

@@ -70,16 +70,18 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of all conversations, read back from their formatted windows."""
+    """Digests of all conversations, read back from their formatted windows of at
+    most 1,024 bytes, so that most conversations take several."""
     from pyspark.sql import functions as F
 
-    from hazeline.llm.chat import read_back, windows
+    from hazeline.llm.chat import read_back, turn_bytes, windows
     said = "<|im_end|><|im_start|>assistant ok"
     tricky = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
-    return read_back(windows(turns))
+    turns = turns.withColumn("n_bytes", turn_bytes(F.col("role"), F.col("text")))
+    return read_back(windows(turns, budget=1024, history=256, size="n_bytes"))
 
 
 #: The same windows and digests from the turns themselves, without formatting.
@@ -89,17 +91,19 @@ WITH c AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 t AS (
-  SELECT *, len(regexp_extract_all(text, '\S+')) + 4 AS tokens,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS seq,
-    12 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\/')) + 1
-      + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 11 AS chars FROM c),
+  SELECT *, strlen(shown) AS tokens, length(shown) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS seq FROM (
+    SELECT *, '<|im_start|>' || replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\/') || chr(10)
+      || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|im_end|>' || chr(10) AS shown FROM c)),
+l AS (SELECT conv_id, max(tokens) AS longest FROM t GROUP BY conv_id),
 p AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY seq) - tokens AS start FROM t),
 s AS (
   SELECT conv_id, min(seq) AS sys_seq, arg_min(tokens, seq) AS sys_tokens, arg_min(chars, seq) AS sys_chars
   FROM t WHERE role = 'system' GROUP BY conv_id),
 a AS (
-  SELECT p.*, sys_seq, sys_chars, greatest(floor((1792 - coalesce(sys_tokens, 0)) / 2), 1) AS stretch
-  FROM p LEFT JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+  SELECT p.*, sys_seq, sys_chars, 768 - coalesce(sys_tokens, 0) AS room,
+    greatest(room - least(longest, floor(room / 2)), 1) AS stretch
+  FROM p LEFT JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id JOIN l ON p.conv_id IS NOT DISTINCT FROM l.conv_id),
 b AS (SELECT *, floor(start / stretch) AS win FROM a),
 w AS (
   SELECT conv_id, win, min(start) AS begins, min(seq) AS from_seq, any_value(stretch) AS stretch,
