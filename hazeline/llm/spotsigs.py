@@ -9,6 +9,7 @@ are compared by Jaccard similarity.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,8 +119,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, anchors: tuple[str,
     n - ceil(threshold * n) + 1 in order of frequency, which no similar pair can
     avoid), and the exact comparison is skipped where lengths rule it out.
     Texts without words are classes of their own and in no pair; rows with a
-    null doc_id are left out.
+    null doc_id are left out. The threshold is taken as the decimal fraction that
+    it is written as, and compared in whole numbers.
     """
+    exact = Fraction(str(threshold))
+    num, den = F.lit(exact.numerator), F.lit(exact.denominator)
     sets = with_signatures(docs.where("doc_id is not null").select("doc_id", "text"), "text", "sigs", anchors)
     sets = materialize(sets.drop("text"), "spots")
     filled = sets.where(F.size("sigs") > 0)
@@ -131,13 +135,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, anchors: tuple[str,
     rank = Window.partitionBy("class_id").orderBy("df", "sig")
     prefix = (exploded.join(counts.where("df > 1"), "sig")
               .withColumn("r", F.row_number().over(rank) + (F.col("n") - F.count("*").over(Window.partitionBy("class_id"))))
-              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1))
+              .where(F.col("r") <= F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1))
     part = F.floor(F.log("n") / math.log(1 / threshold)).cast("long") if threshold < 1 else F.col("n").cast("long")
     left = prefix.select("sig", F.col("class_id").alias("a"), F.col("n").alias("n_a"), part.alias("part"))
     right = prefix.select("sig", F.col("class_id").alias("b"), F.col("n").alias("n_b"),
                           F.explode(F.array(part - 1, part, part + 1)).alias("part"))
-    fits = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold) & (F.col("a") < F.col("b"))
+    fits = (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (F.col("a") < F.col("b"))
     pairs = left.join(right, ["sig", "part"]).where(fits).select("a", "b").distinct()
     full = lambda name: classes.select(F.col("class_id").alias(name), F.col("sigs").alias(f"s_{name}"))
-    near = pairs.join(full("a"), "a").join(full("b"), "b").select("a", "b", likeness(F.col("s_a"), F.col("s_b")).alias("likeness"))
-    return members, near.where(F.col("likeness") >= threshold)
+    near = pairs.join(full("a"), "a").join(full("b"), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    near = near.where(common * den >= (F.size("s_a") + F.size("s_b") - common) * num)
+    return members, near.select("a", "b", likeness(F.col("s_a"), F.col("s_b")).alias("likeness"))
