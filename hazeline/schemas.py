@@ -37,6 +37,7 @@ READINGS = T.StructType([
 ])
 
 _V = T.StructType([T.StructField("v", T.DoubleType())])
+# Field names of the real-time service's documents.
 IAQI_KEYS = ["co", "h", "no2", "o3", "p", "pm10", "pm25", "r", "so2", "t", "w"]
 FORECAST_KEYS = ["o3", "pm10", "pm25", "uvi"]
 _DAY = T.ArrayType(T.StructType([
@@ -45,6 +46,7 @@ _DAY = T.ArrayType(T.StructType([
 
 # One real-time snapshot document. Every iaqi value is DOUBLE because the
 # service sends 6 in one poll and 6.4 in the next.
+# Shape and field names of a real-time document.
 SNAPSHOT = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("data", T.StructType([
@@ -70,6 +72,7 @@ SNAPSHOT = T.StructType([
 
 # District boundaries as a GeoJSON FeatureCollection; geometry is carried
 # as an opaque payload (coordinates arrive as raw JSON text).
+# Shape of a boundary document (GeoJSON).
 GEOJSON = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("features", T.ArrayType(T.StructType([
