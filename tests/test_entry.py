@@ -8,10 +8,10 @@ import __spark_entry__ as entry
 def test_queries_without_the_training_data_part(monkeypatch):
     real = importlib.import_module
 
-    def missing(name):
+    def missing(name, package=None):
         if name.startswith(("hazeline.llm", "corpus_pipeline")):
             raise ImportError(name)
-        return real(name)
+        return real(name, package)
 
     monkeypatch.setattr(entry.importlib, "import_module", missing)
     found = entry.queries()
