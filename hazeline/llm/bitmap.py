@@ -19,7 +19,7 @@ def build(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     parts = (hashes.select(bit.alias("bit")).groupBy(F.expr(f"bit div {_BUCKET}").alias("bucket"))
              .agg(F.expr(f"bitmap_construct_agg(bit % {_BUCKET})").alias("part")))
     out = np.zeros(bits // 8, np.uint8)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # of a bounded size, in one job however many partitions there are
         at = r["bucket"] * _BUCKET // 8
         out[at:at + _BUCKET // 8] = np.frombuffer(bytes(r["part"]), np.uint8)
     return out

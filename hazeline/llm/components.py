@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import materialize
+from hazeline.llm.common import discard, materialize
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -26,8 +26,13 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.toDF("u", "v"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """True if each link's larger end has that one link only, and no node is the
+    larger end of one and the smaller of another."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .union(edges.select("v", F.lit(0), F.lit(1))))
+    return (ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .where("up > 1 or (up = 1 and down = 1)").isEmpty())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,10 +41,8 @@ def components(links: DataFrame) -> DataFrame:
     matter; no links, no rows."""
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = materialize(edges.where("u <> v").distinct(), "links")
-    state = _state(edges)
-    while True:
-        edges = materialize(small_star(large_star(edges)).distinct(), "stars")
-        if state == (state := _state(edges)):
-            break
+    while not _stars(edges):
+        before, edges = edges, materialize(small_star(large_star(edges)).distinct(), "stars")
+        discard(before)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -5,9 +5,11 @@ full shingle sets, and connected components.
 Documents of equal shingle sets are one class and only its least id goes on.
 Documents that share a band key form a bucket. Instead of all pairs of a bucket,
 each is compared with one hub; documents that end up in one component need no
-more comparisons. What is left in a bucket are pairs from different components.
-Those that their sizes and unshared shingles don't rule out are all checked, in
-blocks, so no link that joins components is lost.
+more comparisons. What is left in a bucket are members of different components.
+Of these a similar pair must share one of its rarest shingles (a prefix filter,
+which is exact), so candidates are pairs with such a shingle in common whose sizes
+and places allow enough common shingles; all of them are checked, and no link that
+joins components is lost.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import byte_view, materialize, mix64, prepare, slices
+from hazeline.llm import bitmap
+from hazeline.llm.common import byte_view, discard, materialize, mix64, prepare, slices
 from hazeline.llm.components import components
 from hazeline.llm.hubs import hub_pairs, unresolved
 from hazeline.llm.wordhash import NOT_SPACE, runs, words
@@ -35,8 +38,11 @@ MISSED, MINIMA = 1.2e-5, 150
 #: the threshold (five standard deviations of the estimate at 0.85), or further
 #: where five standard deviations are more.
 SLACK = 0.16
-#: Parts that a bucket's members are dealt to in the last, pairwise round.
-BLOCKS = 8
+#: Members of a shingle's group that one block of the last, pairwise round takes.
+BLOCK_MEMBERS = 256
+#: Bits of the bitmap that tells whose sets are wanted (2 MB). A full one only
+#: means that sets are written which no pair reads.
+WANTED_BITS = 1 << 24
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -121,8 +127,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 place = np.cumsum(filled) - 1
                 own = [keys[p] if ok else None for p, ok in zip(place, filled, strict=True)]
                 short = [low[p].tobytes() if ok else None for p, ok in zip(place, filled, strict=True)]
-                one = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                two = [int(mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
+                one, two = zip(*map(_digests, sets), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()),
                      pa.array(two, pa.int64()), pa.array(own, pa.list_(pa.int64())), pa.array(short, pa.binary())],
@@ -132,17 +137,31 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, shingles: the sorted hashes as bytes."""
+def _digests(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    return (int(mix64(values).sum(dtype=np.uint64).view(np.int64)),
+            int(mix64(values ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
+
+
+def sets_of(docs: DataFrame, wanted=None) -> DataFrame:
+    """doc_id, set (one half of what stands for it), shingles: the sorted hashes
+    as bytes. With ``wanted``, a broadcast bitmap, only of ids whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if wanted is not None:
+                batch = batch.filter(pa.array(bitmap.has(wanted.value, _ids(batch))))
             for part in slices(batch, max_bytes=1 << 20):
-                sets = [s.tobytes() for s in shingle_sets(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())],
-                                                 names=["doc_id", "shingles"])
+                sets = shingle_sets(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([_digests(s)[0] for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "set", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, shingles binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return rows.mapInArrow(run, "doc_id long, set long, shingles binary")
+
+
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
 def _kept_pairs(pairs: DataFrame, decide, columns: tuple[str, str]) -> DataFrame:
@@ -177,14 +196,18 @@ def _near(percent: int):
 
 def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs u, v those whose full sets are similar: first by what
-    their sizes allow, then by signature, then exactly."""
+    their sizes allow, then by signature, then exactly. A document of several
+    texts is compared by each of its sets."""
     side = lambda name: nodes.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"),
                                      F.col("signature").alias(f"s_{name}"))
     near = (pairs.join(side("u"), "u").join(side("v"), "v")
             .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-    near = materialize(_kept_pairs(near, _near(percent), ("s_u", "s_v")), "near")
-    full = (near.join(sets.toDF("u", "x_u"), "u").join(sets.toDF("v", "x_v"), "v"))
-    return _kept_pairs(full, _similar(percent), ("x_u", "x_v"))
+    near = materialize(_kept_pairs(near, _near(percent), ("s_u", "s_v")).distinct(), "near")
+    sets = sets.select("doc_id", "shingles")
+    full = near.join(sets.toDF("u", "x_u"), "u").join(sets.toDF("v", "x_v"), "v")
+    found = materialize(_kept_pairs(full, _similar(percent), ("x_u", "x_v")).distinct(), "verified")
+    discard(near)
+    return found
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -197,30 +220,38 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     several texts; a null doc_id is never linked, has a null component and is
     kept. No row in, no row out; other columns aren't read.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     every = materialize(signed(docs, *banding(percent)), "signed")
     # One node for each distinct set: its least id. The minimum is combined before the shuffle.
     same = every.where("n_shingles > 0 and doc_id is not null")
     classes = materialize(same.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    nodes = (same.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id = rep")
-             .select("doc_id", "n_shingles", "bands", "signature").dropDuplicates(["doc_id", "n_shingles"]))
+    chosen = same.join(classes, ["set_a", "set_b", "n_shingles"])
+    # The classes of a document with several texts belong together.
+    texts = (chosen.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b"))
+    own = materialize(chosen.join(texts.select("doc_id", "a"), "doc_id").select(F.col("rep").alias("u"), F.col("a").alias("v")).distinct(), "own")
+    nodes = (chosen.where("doc_id = rep").select("doc_id", F.col("set_a").alias("set"), "n_shingles", "bands", "signature")
+             .dropDuplicates(["doc_id", "set", "n_shingles"]))
     buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     full = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialize(buckets.join(full, "key").withColumn("component", F.col("node")), "buckets")
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
-    nodes = materialize(nodes.join(wanted, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature"), "nodes")
-    sets = materialize(sets_of(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    nodes = materialize(nodes.join(wanted, "doc_id", "left_semi").drop("bands"), "nodes")
+    # Texts stay where they are: only the sets of nodes with company are dealt.
+    bits = spark.sparkContext.broadcast(bitmap.build(wanted, "doc_id", WANTED_BITS))
+    sets = materialize(sets_of(docs, bits).join(nodes.select("doc_id", "set"), ["doc_id", "set"], "left_semi")
+                       .dropDuplicates(["doc_id", "set"]), "sets")
     # First every member against its bucket's hub, the one with most company in
     # all its buckets: of copies with changes of their own, that is the original.
     company = buckets.groupBy("node").agg(F.sum("n").alias("company"))
     first = hub_pairs(buckets.join(company, "node"), -F.col("company"))
-    links = materialize(_verified(first, nodes, sets, percent), "verified")
-    found = materialize(components(links), "components")
+    found = materialize(components(_verified(first, nodes, sets, percent).union(own)), "components")
     left = unresolved(buckets, found)
     if not left.isEmpty():
-        more = materialize(_verified(_rest(left, nodes, sets, percent), nodes, sets, percent), "verified")
+        more = _verified(_rest(left, sets, percent), nodes, sets, percent)
         if not more.isEmpty():
-            found = materialize(components(links.union(more)), "components")
+            found = materialize(components(found.toDF("u", "v").union(more)), "components")
+    discard(buckets, nodes, sets, left)
     # Equal sets are tied together by their class, whose own component is the representative's.
     ties = every.where("doc_id is not null").join(classes, ["set_a", "set_b", "n_shingles"], "left")
     root = F.coalesce("component", "rep", "doc_id")
@@ -231,37 +262,50 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _rest(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket from different components that can be similar, dealt
-    by bucket and block.
-
-    A shingle that no other member of any open bucket has can't be common to a
-    pair, which bounds what a member can share. Members that this rules out for
-    every size in their bucket go before pairs are made; no link is lost.
-    """
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unpacked(sets: DataFrame) -> DataFrame:
+    """node, set, size and shingle of every member of every set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, raw in zip(batch.column("doc_id").to_pylist(), batch.column("shingles"), strict=True):
+            for node, own, raw in zip(batch.column("doc_id").to_pylist(), batch.column("set").to_pylist(),
+                                      batch.column("shingles"), strict=True):
                 values = np.frombuffer(raw.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "shingle"])
-
-    open_ = sets.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    alone = (open_.mapInArrow(unpacked, "node long, shingle long").groupBy("shingle")
-             .agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-             .groupBy("node").agg(F.count("*").alias("alone")))
-    size = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"))
-    members = (buckets.select("key", "node", "component").join(size, "node").join(alone, "node", "left")
-               .withColumn("most", F.col("size") - F.coalesce("alone", F.lit(0))))
-    least = members.groupBy("key").agg(F.min("size").alias("least"))
-    able = members.join(least, "key").where(100 * F.col("most") >= percent * (F.col("size") + F.greatest("least", "most") - F.col("most")))
-    able = materialize(able.drop("least", "alone"), "able")
-    mixed = (able.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-             .where("a <> b").select("key"))
-    able = able.join(mixed, "key")
-    left = able.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("size").alias("nu"),
-                       F.col("most").alias("mu"), F.pmod(F.xxhash64("node"), F.lit(BLOCKS)).alias("block"))
-    right = able.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("nv"),
-                        F.col("most").alias("mv"), F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
-    fits = f"u < v and cu <> cv and 100 * least(mu, mv) >= {percent} * (nu + nv - least(mu, mv))"
-    same = (left["key"] == right["key"]) & (left["block"] == right["block"])
+                n = len(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, node)), pa.array(np.full(n, own)), pa.array(np.full(n, n)), pa.array(values)],
+                    names=["node", "set", "size", "shingle"])
+
+    return sets.select("doc_id", "set", "shingles").mapInArrow(run, "node long, set long, size long, shingle long")
+
+
+def _rest(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of open buckets from different components that can be
+    similar.
+
+    Shingles are ordered by the number of open sets that have them, the rarest
+    first. A set of n shares at least percent % of n with a similar one, so it
+    has one of the pair's common shingles among its first n less that, plus one.
+    The first common shingle at places i and j of sets of n and m leaves at most
+    1 + min(n - i, m - j) common ones. A shingle of one set alone takes a place
+    but makes no pair.
+    """
+    open_ = buckets.select(F.col("node").alias("doc_id"), "component").distinct()
+    tokens = _unpacked(sets.join(open_, "doc_id", "left_semi"))
+    often = tokens.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    of_set = Window.partitionBy("node", "set")
+    placed = (tokens.join(often, "shingle")
+              .withColumn("place", F.col("size") - F.count("*").over(of_set)
+                          + F.row_number().over(of_set.orderBy("n", "shingle")))
+              .where(f"place <= size - (({percent} * size + 99) div 100) + 1")
+              .join(open_.withColumnRenamed("doc_id", "node"), "node")
+              .select("shingle", "node", "component", "size", (F.col("size") - F.col("place") + 1).alias("rest")))
+    placed = materialize(placed, "prefixes")
+    mixed = (placed.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"))
+             .where("a <> b").select("shingle", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("long").alias("blocks")))
+    able = placed.join(mixed, "shingle")
+    left = able.select("shingle", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("size").alias("nu"),
+                       F.col("rest").alias("ru"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    right = able.select("shingle", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("nv"),
+                        F.col("rest").alias("rv"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
+    fits = f"u < v and cu <> cv and 100 * least(ru, rv) >= {percent} * (nu + nv - least(ru, rv))"
+    same = (left["shingle"] == right["shingle"]) & (left["block"] == right["block"])
     return left.join(right, same & F.expr(fits)).select("u", "v").distinct()

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from hazeline.llm import minhash
 from hazeline.llm.components import components
 from hazeline.llm.minhash import band_keys, banding, near_duplicates, shingle_sets, signatures
 
@@ -108,3 +109,31 @@ def test_pairs_at_a_lower_threshold_share_a_band(spark):
         bands, size = banding(percent)
         assert (1 - (percent / 100) ** size) ** bands <= 1.2e-5
     assert banding(85) == (24, 6)
+
+
+def test_documents_of_several_texts(spark):
+    rng = random.Random(11)
+    rows = [(i // 3, t) for i, t in corpus(rng)]
+    rows += [(5000, "a b c d e f"), (5000, "u v w x y z"), (5001, "u v w x y z"), (4999, "a b c d e f")]
+    rows += rows[:40]
+    want = plain(rows)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
+    assert all(r.component_id == want[r.doc_id] for r in found)
+    assert {r.doc_id for r in found if r.component_id == 4999} == {4999, 5000, 5001}
+
+
+def test_a_common_passage_makes_few_pairs(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = [word() for _ in range(60)]
+    texts = [" ".join([*passage, *(word() for _ in range(rng.randint(12, 30)))]) for _ in range(300)]
+    texts.append(texts[17] + " tail")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    every = [(i, i) for i in range(len(texts))]
+    buckets = spark.createDataFrame(every, "node long, component long")
+    pairs = [(r.u, r.v) for r in minhash._rest(buckets, minhash.sets_of(docs), 85).collect()]
+    sets = [plain_set(t) for t in texts]
+    similar = {(a, b) for a in range(301) for b in range(a + 1, 301)
+               if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert (17, 300) in similar and similar <= set(pairs) and len(pairs) < 100
