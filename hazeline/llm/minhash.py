@@ -228,8 +228,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = materialize(same.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     chosen = same.join(classes, ["set_a", "set_b", "n_shingles"])
     # The classes of a document with several texts belong together.
-    texts = (chosen.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b"))
-    own = materialize(chosen.join(texts.select("doc_id", "a"), "doc_id").select(F.col("rep").alias("u"), F.col("a").alias("v")).distinct(), "own")
+    set_ = F.struct("set_a", "set_b")
+    several = same.groupBy("doc_id").agg(F.min(set_).alias("a"), F.max(set_).alias("b")).where("a <> b").select("doc_id")
+    own = (same.select("doc_id", "set_a", "set_b", "n_shingles").join(several, "doc_id")
+           .join(classes, ["set_a", "set_b", "n_shingles"]).select(F.col("rep").alias("u"), F.col("doc_id").alias("v")).distinct())
     nodes = (chosen.where("doc_id = rep").select("doc_id", F.col("set_a").alias("set"), "n_shingles", "bands", "signature")
              .dropDuplicates(["doc_id", "set", "n_shingles"]))
     buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
