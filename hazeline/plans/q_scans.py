@@ -19,9 +19,9 @@ RAW_ONLY = [STATIONS, RAW]
 
 
 def readings_csv(spark, sf_dir) -> str:
-    """The raw readings as a multi-part CSV folder with a header."""
+    """The raw readings as a multi-part CSV folder with a header, compressed."""
     return landing.derived(spark, sf_dir, "readings_csv",
-                           lambda p: files.write_csv(raw(spark, sf_dir), p))
+                           lambda p: files.write_csv(raw(spark, sf_dir), p, compressed=True))
 
 
 _TEXT = ["Measurement date", "Station code", "Address", "Latitude", "Longitude", *RAW_MEASURES]

@@ -14,10 +14,17 @@ from pyspark.sql import types as T
 from hazeline.schemas import GEOJSON, snapshot_schema
 
 
+#: Rows of a compressed part file, which one task reads as a whole.
+ROWS_PER_FILE = 500_000
+
+
 def write_csv(df: DataFrame, path: str, encoding: str | None = None,
-              partition_by: list[str] | None = None) -> None:
-    """Header, overwrite, one part file per task (a multi-part folder)."""
+              partition_by: list[str] | None = None, compressed: bool = False) -> None:
+    """Header, overwrite, one part file per task (a multi-part folder); compressed
+    ones (gzip) of ROWS_PER_FILE rows at most."""
     w = df.write.mode("overwrite").option("header", "true")
+    if compressed:
+        w = w.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE)
     if encoding:
         w = w.option("encoding", encoding)
     if partition_by:
