@@ -17,17 +17,23 @@ from hazeline.streaming import snapshots as snap
 
 #: Bytes of JSON documents for a byte of the compressed events, as measured.
 JSON_GROWTH = 82
+#: Bytes of documents in one compressed file, which one task reads as a whole.
+DOCUMENT_FILE_BYTES = 128 << 20
 
 
 def snapshot_dir(spark, sf_dir, force: bool = False) -> str:
     def build(p):
         # One file per date (and salt, at scale): the shuffle spreads the
-        # document building over tasks whatever the input's file layout.
-        docs = adapter.snapshot_documents(spark, sf_dir)
-        days = docs.select("date").distinct().count()
-        salts = landing.salts_for(JSON_GROWTH * fs.size(spark, table_path(sf_dir, "events")), days)
-        (docs.repartition(F.col("date"), F.pmod(F.xxhash64("data.idx"), F.lit(salts)))
-             .write.partitionBy("date").json(p))
+        # document building over tasks whatever the input's file layout. Events
+        # are dealt and sorted by date, not the documents made of them.
+        days = adapter.snapshot_documents(spark, sf_dir).select("date").distinct().count()
+        salts = landing.salts_for(JSON_GROWTH * fs.size(spark, table_path(sf_dir, "events")), days, DOCUMENT_FILE_BYTES)
+
+        def deal(e):
+            salt = F.pmod(F.xxhash64("event_id", "ts"), F.lit(salts))
+            return e.repartition(max(1, days * salts), F.col("date"), salt).sortWithinPartitions("date")
+        (adapter.snapshot_documents(spark, sf_dir, deal).write.option("compression", "gzip")
+         .partitionBy("date").json(p))
     return landing.derived(spark, sf_dir, "snapshots_json", build, force)
 
 
@@ -100,6 +106,13 @@ def stream_snapshot_latest(spark, sf_dir):
 
 #: Files arrive in so many steps of time; a tenth of the rows comes a step late.
 ARRIVALS = 6
+#: Bytes of events in a file, and steps that a stream takes at a time.
+EVENT_FILE_BYTES, STEPS_AT_A_TIME = 64 << 20, 4
+
+
+def _files_a_step(spark, sf_dir) -> int:
+    """Files that the events of one step of time are written to."""
+    return landing.salts_for(fs.size(spark, table_path(sf_dir, "events")), ARRIVALS, EVENT_FILE_BYTES)
 
 
 def _event_files(spark, sf_dir) -> tuple[str, int]:
@@ -113,14 +126,17 @@ def _event_files(spark, sf_dir) -> tuple[str, int]:
         late = (F.col("event_id") % 10 == 0).cast("int")
         arrival = F.floor((F.unix_seconds("ts") - F.lit(first or 0)) / step) + late
         for i in range(ARRIVALS + 1):
-            events.where(arrival == i).write.mode("append").parquet(p)
+            events.where(arrival == i).repartition(_files_a_step(spark, sf_dir)).write.mode("append").parquet(p)
         ev.closing(events, "ts", 4 * step + 86_400, by=["event_type"], keys=["user_id"]).write.mode("append").parquet(p)
     return landing.derived(spark, sf_dir, "event_files", build), 2 * step
 
 
-def _event_stream(spark, path):
+def _event_stream(spark, sf_dir, path):
+    """The event files as a stream; the number of batches doesn't grow with the
+    events, as each takes the files of so many steps."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "4").parquet(path)
+    some = STEPS_AT_A_TIME * _files_a_step(spark, sf_dir)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", some).parquet(path)
 
 
 @register("stream_event_sessions", session_sql("user_id", 7200))
@@ -129,7 +145,7 @@ def stream_event_sessions(spark, sf_dir):
     late rows."""
     path, late = _event_files(spark, sf_dir)
     run = landing.fresh(spark, "stream_sessions")
-    ev.stream_sessions(_event_stream(spark, path), ["user_id"], "ts", 7200, f"{late} seconds", f"{run}/out", f"{run}/checkpoint", total())
+    ev.stream_sessions(_event_stream(spark, sf_dir, path), ["user_id"], "ts", 7200, f"{late} seconds", f"{run}/out", f"{run}/checkpoint", total())
     out = spark.read.parquet(f"{run}/out")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
@@ -143,8 +159,8 @@ def stream_view_purchase(spark, sf_dir):
     views without one come once."""
     path, late = _event_files(spark, sf_dir)
     run = landing.fresh(spark, "stream_match")
-    views = _event_stream(spark, path).where("event_type = 'view'").select("event_id", "user_id", "ts")
-    bought = _event_stream(spark, path).where("event_type = 'purchase'").select(
+    views = _event_stream(spark, sf_dir, path).where("event_type = 'view'").select("event_id", "user_id", "ts")
+    bought = _event_stream(spark, sf_dir, path).where("event_type = 'purchase'").select(
         F.col("event_id").alias("purchase_id"), "user_id", "ts", F.col("value").alias("purchase_value"))
     ev.stream_match(views, bought, ["user_id"], "ts", "ts", 6 * 3600, f"{late} seconds", ["purchase_id", "purchase_value"],
                     f"{run}/out", f"{run}/checkpoint")

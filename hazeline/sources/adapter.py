@@ -130,16 +130,20 @@ SNAPSHOT_TZ = "+09:00"
 FORECAST_SPANS = {"o3": (-2, 5), "pm10": (-1, 6), "pm25": (-1, 6), "uvi": (-1, 4)}
 
 
-def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_documents(spark: SparkSession, sf_dir: str, deal=None) -> DataFrame:
     """One real-time snapshot document per event, in the nested shape of the
     service: station ``idx`` <- user_id, revision time ``debug.sync`` <- ts,
     hour of the observation <- ts truncated to the hour (local clock), AQI
     <- floor(value), dominant pollutant <- event_type, ``iaqi`` values from
     value and props.k (integers for some keys, decimals for others), and
     four forecast arrays. ``time.v`` repeats the reference's trap: the local
-    clock read as if it were UTC. Also returns ``date`` (local poll date)."""
+    clock read as if it were UTC. Also returns ``date`` (local poll date).
+    ``deal`` deals the events (with their ``date``) to tasks: a document is some
+    dozens of times as large as its event, so it is the event that is moved."""
+    e = table(spark, sf_dir, "events").withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+    e = deal(e) if deal else e
     # props is parsed once per row; every later use reads the column.
-    e = table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k INT").getField("k"))
+    e = e.withColumn("k", F.from_json("props", "k INT").getField("k"))
     k = F.col("k")
     hour = F.date_trunc("hour", F.col("ts"))
     iaqi = {
@@ -178,8 +182,7 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
                           F.lit(SNAPSHOT_TZ)).alias("sync")).alias("debug"),
     )
-    return e.select(F.lit("ok").alias("status"), data.alias("data"),
-                    F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    return e.select(F.lit("ok").alias("status"), data.alias("data"), "date")
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,6 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hazeline.operators.filters import outlier_band
 from hazeline.plans.readings import ingest
@@ -82,16 +81,13 @@ def land_bronze(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
 
 
 def land_silver(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """Typed readings by year. One shuffle on (year, salt), so a task writes one
-    year's file of bounded size instead of a file for every year; a hot year
-    spreads over its salts."""
+    """Typed readings by year. The rows of a year meet before the write, so a task
+    doesn't write a file for every year; the hint lets Spark split a large year
+    over tasks of the advisory size, so what one task reads doesn't grow with the
+    input."""
     def build(path: str) -> None:
-        source = land_bronze(spark, sf_dir)
-        raw = spark.read.parquet(source)
-        years = raw.select(F.substring("Measurement date", 1, 4)).distinct().count()
-        salts = salts_for(fs.size(spark, source), years)
-        (ingest(raw).repartition(F.col("year"), F.pmod(F.xxhash64("reading_id"), F.lit(salts)))
-         .write.partitionBy("year").parquet(path))
+        raw = spark.read.parquet(land_bronze(spark, sf_dir))
+        ingest(raw).hint("rebalance", "year").write.partitionBy("year").parquet(path)
 
     return _once(spark, sf_dir, "silver", build, force, _READINGS)
 
@@ -108,10 +104,10 @@ def land_gold(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
 TARGET_FILE_BYTES = 1 << 30
 
 
-def salts_for(output_bytes: int, partitions: int) -> int:
+def salts_for(output_bytes: int, partitions: int, target: int = TARGET_FILE_BYTES) -> int:
     """Files of each of ``partitions`` folders so that a file of an output of
-    that size holds about TARGET_FILE_BYTES."""
-    return max(1, math.ceil(output_bytes / (TARGET_FILE_BYTES * max(1, partitions))))
+    that size holds about ``target`` bytes."""
+    return max(1, math.ceil(output_bytes / (target * max(1, partitions))))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,7 +144,7 @@ def merge_latest(rows: DataFrame, path: str, keys: list[str], date: str = "date"
         rows, known = _with_columns(rows, known), _with_columns(known, rows)
         rows = latest(rows.unionByName(known), keys, [c for c in rows.columns if c not in keys])
     staged = scratch_path(spark, "merges", uuid.uuid4().hex)
-    rows.hint("rebalance", date).write.parquet(staged)
+    rows.write.parquet(staged)  # dealt by date when they are put in place
     fs.publish(spark, f"{path}/{_PENDING}", staged, replace=True)
     _install(spark, path, staged, date)
 
