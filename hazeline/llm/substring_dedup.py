@@ -4,7 +4,7 @@ Every window of ``window`` bytes has an anchor inside it (:mod:`anchors`), so
 equal windows lie in stretches with equal anchors. Only anchors that occur more
 than once matter. Stretches with equal bytes are one class: all but the first
 are repeats as a whole. Classes that share an anchor are put together, their
-bytes sorted by a suffix array built by linear grouping, and neighbours in that
+bytes sorted by a suffix array built by prefix doubling, and neighbours in that
 order that agree in the first ``window`` bytes are the same string: all but the
 earliest are repeats. Groups of classes that are too large for one array are
 split by longer and longer parts of the windows around the anchor, so a line
@@ -30,7 +30,7 @@ GRAM = 32
 #: Bits of the bitmaps that tell which anchors repeat and which bytes are wanted.
 BITMAP_BITS = 1 << 27
 #: Classes that one suffix array takes for an anchor; larger groups are split.
-GROUP_CLASSES = 4
+GROUP_CLASSES = 16
 #: Bytes of a suffix array's text, beyond which a task begins another array.
 ARRAY_BYTES = 100_000
 

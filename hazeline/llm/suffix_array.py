@@ -1,14 +1,10 @@
-"""Suffix array by linear grouping construction.
+"""Suffix array by prefix doubling, as numpy passes.
 
-Suffixes start in groups by their first symbol. Groups are processed in
-descending order; when a group's turn comes, all its suffixes share a Lyndon
-prefix that no later step will lengthen. Each of its suffixes points to the
-nearest suffix to the left that is in a smaller group (its previous-smaller
-pointer); what is pointed to is followed by that prefix, as often as it has
-pointers, and moves on to a new group right above its own. When every group is
-done, one pass over the order emits it: the suffixes whose pointers lead to each
-other are appended to their groups in turn. Nothing is renamed and no part is
-sorted recursively.
+Suffixes are first ordered by as many of their symbols as fit into 62 bits. What
+stands alone is done; suffixes that agree so far are a group, known by the place
+where it begins, and are ordered by the group of the suffix that follows what is
+known to agree. Each pass doubles that length and sorts only what is still in a
+group.
 """
 
 from __future__ import annotations
@@ -16,93 +12,42 @@ from __future__ import annotations
 import numpy as np
 
 
+def _packed(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first symbols of every suffix as one number, and how many they are."""
+    symbols = values.astype(np.int64)
+    low, high = int(symbols.min()), int(symbols.max())
+    if high - low >= 1 << 31:
+        symbols = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+        low, high = 0, int(symbols.max())
+    symbols = symbols - low
+    bits = max(1, (high - low).bit_length())
+    packed, width = np.zeros(len(symbols), np.int64), min(62 // bits, len(symbols))
+    for k in range(width):
+        packed <<= bits
+        packed[:len(symbols) - k] |= symbols[k:]
+    return packed, width
+
+
 def suffix_array(values: np.ndarray) -> np.ndarray:
     """Order of all suffixes of an integer array whose last value is smaller
     than all others."""
     n = len(values)
     if n < 2:
         return np.arange(n)
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    sizes = np.diff(np.append(heads, n))
-    # A group is known by the place where its suffixes begin in `slots`.
-    slots = order.tolist()
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    where = place.tolist()
-    group = np.empty(n, np.int64)
-    group[order] = np.repeat(heads, sizes)
-    group = group.tolist()
-    size = [0] * n
-    for h, s in zip(heads.tolist(), sizes.tolist()):
-        size[h] = s
-    pointer = [-1] * n
-    jump = [-1] * n  # as pointer, but over all that is passed by now
-    end = n
-    while end > 0:
-        # The highest group that is left ends where the one above began.
-        head = group[slots[end - 1]]
-        members = sorted(slots[head:end])
-        end = head
-        # Nearest to the left in a smaller group: what lies between is in groups
-        # that are done, or in this one, and so has a pointer to follow.
-        count: dict[int, int] = {}
-        for i in members:
-            j = i - 1
-            if j >= 0 and group[j] >= head:
-                path = []
-                while j >= 0 and group[j] >= head:
-                    path.append(j)
-                    j = jump[j]
-                for k in path:
-                    jump[k] = j
-            pointer[i] = jump[i] = j
-            if j >= 0:
-                count[j] = count.get(j, 0) + 1
-        if not count:
-            continue
-        by_count: dict[int, list[int]] = {}
-        for j, c in count.items():
-            by_count.setdefault(c, []).append(j)
-        # Those with more pointers stand higher, so they leave their group first.
-        for c in sorted(by_count, reverse=True):
-            _raise(by_count[c], slots, where, group, size)
-    return _emit(slots, group, pointer, n)
-
-
-def _raise(moved: list[int], slots: list[int], where: list[int], group: list[int], size: list[int]) -> None:
-    """Takes suffixes out of the top of their groups into new ones above."""
-    left: dict[int, int] = {}
-    of = []
-    for j in moved:
-        g = group[j]
-        size[g] -= 1
-        last = g + size[g]
-        at, other = where[j], slots[last]
-        slots[at], slots[last] = other, j
-        where[other], where[j] = at, last
-        left[g] = left.get(g, 0) + 1
-        of.append(g)
-    for j, g in zip(moved, of):
-        group[j] = g + size[g]
-    for g, k in left.items():
-        size[g + size[g]] = k  # if all have left, the group stays what it was
-
-
-def _emit(slots: list[int], group: list[int], pointer: list[int], n: int) -> np.ndarray:
-    """The order, from final groups and pointers."""
-    out = [-1] * n
-    fill = list(range(n))
-    done = bytearray(n)
-    out[0] = n - 1
-    done[n - 1] = 1
-    for r in range(n):
-        j = out[r] - 1
-        while j >= 0 and not done[j]:
-            g = group[j]
-            out[fill[g]] = j
-            fill[g] += 1
-            done[j] = 1
-            j = pointer[j]
-    return np.array(out)
+    key, width = _packed(values)
+    order = np.argsort(key)
+    group = np.zeros(n, np.int64)
+    places, key = np.arange(n), key[order]  # of the suffixes that aren't done, in order
+    while True:
+        first = np.append(True, key[1:] != key[:-1])
+        group[order[places]] = np.maximum.accumulate(np.where(first, places, 0))
+        shared = ~(first & np.append(first[1:], True))
+        if not shared.any():
+            return order
+        places = places[shared]
+        own = order[places]
+        # A suffix in a group has more symbols than agree: the last value is alone.
+        key = group[own] * n + group[own + width]
+        sort = np.argsort(key)
+        order[places], key = own[sort], key[sort]
+        width *= 2

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -20,6 +21,27 @@ def test_suffix_array_orders_all_suffixes():
         assert suffix_array(np.array(v)).tolist() == sorted(range(len(v)), key=lambda i: v[i:])
 
 
+def test_suffix_array_runs_no_python_step_for_each_symbol():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(2, 20, 700)
+    text = np.concatenate([rng.integers(2, 20, 3000), passage, rng.integers(2, 20, 3000), passage, [1, 3, 1 << 40, 0]])
+    ran = 0
+
+    def count(frame, event, arg):
+        nonlocal ran
+        ran += event == "line"
+        return count
+
+    sys.settrace(count)
+    try:
+        found = suffix_array(text)
+    finally:
+        sys.settrace(None)
+    own = text.tolist()
+    assert found.tolist() == sorted(range(len(own)), key=lambda i: own[i:])
+    assert ran < len(text) / 4
+
+
 def plain(rows, window=100):
     seen, out = set(), {}
     for i, text in sorted(rows, key=lambda r: r[0]):
